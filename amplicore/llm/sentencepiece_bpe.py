@@ -1,13 +1,13 @@
 """SentencePiece encoding and decoding (operator 9).
 
 Method: exact merge-type encoding by backtracking. An Aho-Corasick automaton over the pieces gives, at each position,
-the longest match and the shorter ones; a piece is accepted after another only if merging the two again from their
+the longest match, and each piece knows the longest piece that begins it; a piece is accepted after another only if merging the two again from their
 parts would leave the border between them standing; positions from which no way leads on are kept as bits of an
 integer and never tried again. The result is what greedy merging by score gives, without the queue of merges.
 
 A text is cut first where no piece can reach across: before a run of spaces, and around line feeds, as no piece holds
-one. Pieces whose own merge order isn't ascending (runs of spaces, all of one score) are found by the automaton too,
-and segments that hold one are merged in the plain way, by a heap.
+one. Segments that hold a piece whose own merge order isn't ascending (runs of spaces, all of one score) are merged in the
+plain way, by a heap.
 
 Null texts count as empty; an empty text encodes to the end id alone.
 """
@@ -26,7 +26,7 @@ from amplicore.llm._common import arrow_pass, built, table
 
 SPACE = "▁"
 #: Segments kept in each of the two generations of the cache of a worker.
-CACHE = 150_000
+CACHE = 250_000
 
 
 def read_model(path: str) -> dict:
@@ -93,10 +93,58 @@ def merge_tables(model: dict) -> dict:
     return model | {"parts": parts, "odd": odd}
 
 
+class LongestMatches:
+    """An Aho-Corasick automaton over the reversed pieces: one pass from a string's end tells the longest piece that begins
+    at each position. Moves over failure links are kept once taken, so a character usually costs one lookup."""
+
+    def __init__(self, words: list[str]) -> None:
+        self.moves: list[dict[str, int]] = [{}]
+        self.best: list[str] = [""]
+        for w in words:
+            at = 0
+            for c in reversed(w):
+                if (to := self.moves[at].get(c)) is None:
+                    to = self.moves[at][c] = len(self.moves)
+                    self.moves.append({})
+                    self.best.append("")
+                at = to
+            self.best[at] = w
+        self.fail = [0] * len(self.moves)
+        level = list(self.moves[0].values())
+        while level:
+            below = []
+            for at in level:
+                for c, to in self.moves[at].items():
+                    f = self.fail[at]
+                    while f and c not in self.moves[f]:
+                        f = self.fail[f]
+                    self.fail[to] = self.moves[f].get(c, 0)
+                    below.append(to)
+            for at in level:
+                if not self.best[at]:
+                    self.best[at] = self.best[self.fail[at]]
+            level = below
+
+    def moved(self, at: int, c: str) -> int:
+        f = at
+        while f and c not in self.moves[f]:
+            f = self.fail[f]
+        to = self.moves[at][c] = self.moves[f].get(c, 0)
+        return to
+
+    def __call__(self, s: str) -> list[str]:
+        """By position from the end: the longest piece that begins there."""
+        at, out, moves, best = 0, [], self.moves, self.best
+        for c in reversed(s):
+            if (to := moves[at].get(c)) is None:
+                to = self.moved(at, c)
+            at = to
+            out.append(best[at])
+        return out
+
+
 class Encoder:
     def __init__(self, tables: dict) -> None:
-        import ahocorasick
-
         self.pieces, self.byte_ids, self.end = tables["pieces"], tables["bytes"], tables["end"]
         self.score = {self.pieces[i]: s for i, s in tables["scores"].items()}
         self.id_of = {self.pieces[i]: i for i in tables["scores"]}
@@ -104,10 +152,11 @@ class Encoder:
         self.parts, self.odd = tables["parts"], tables["odd"]
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
         self.silent = frozenset(tables["control"])
-        self.automaton = ahocorasick.Automaton()
-        for p in self.score:
-            self.automaton.add_word(p, p)
-        self.automaton.make_automaton()
+        self.longest = LongestMatches(list(self.score))
+        self.chars = frozenset(p for p in self.score if len(p) == 1)
+        self.shorter: dict[str, str | None] = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.score), None) for p in self.score}
+        least = [p for p in self.odd if not any(q != p and q in p for q in self.odd)]
+        self.odd_in = re.compile("|".join(map(re.escape, least)) or "(?!)").search
         feed = "\n" if not any("\n" in p for p in self.score) else ""
         self.segments = re.compile(rf"{feed}+|{SPACE}*[^{SPACE}{feed}]+|{SPACE}+" if feed else rf"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         self.tails = "".join(c for c in ".,;!|%$*&#\"?" if c in self.score and not any(c in p and not p.startswith(c) and p[p.index(c) - 1].isalpha() for p in self.score))
@@ -143,40 +192,51 @@ class Encoder:
         n = len(s)
         if n == 1:
             return [s]
-        at: list[list[str]] = [[] for _ in range(n)]
-        for end, p in self.automaton.iter(s):
-            if p in self.odd:
-                return merged(list(s), self.score)
-            at[end - len(p) + 1].append(p)  # by end, so the longest is the last
+        if self.odd_in(s):
+            return merged(list(s), self.score)
+        at = self.longest(s)
+        shorter, fits, compatible = self.shorter, self.fits, self.compatible
         way: list[str] = []
-        turn: list[int] = []  # which match of its position each piece of the way is
-        failed, pos, k = 0, 0, len(at[0]) - 1
-        compatible = self.compatible
-        while pos < n:
-            while k >= 0:
-                p = at[pos][k]
-                if not failed >> (pos + len(p)) & 1 and (not way or compatible(way[-1], p)):
-                    break
-                k -= 1
-            if k >= 0:
+        failed, pos, last = 0, 0, ""
+        p: str | None = at[-1]
+        while True:
+            while p is not None:
+                if not (failed and failed >> (pos + len(p)) & 1):
+                    if not last:
+                        break
+                    if (ok := fits.get((last, p))) is None:
+                        ok = compatible(last, p)
+                    if ok:
+                        break
+                p = shorter[p]
+            if p is not None:
                 way.append(p)
-                turn.append(k)
                 pos += len(p)
-                k = len(at[pos]) - 1 if pos < n else 0
+                if pos == n:
+                    return way
+                last, p = p, at[-1 - pos]
             else:
                 if not way:
                     return merged(list(s), self.score)
                 failed |= 1 << pos
                 p = way.pop()
                 pos -= len(p)
-                k = turn.pop() - 1
-        return way
+                p, last = shorter[p], way[-1] if way else ""
+
+    def parted(self, segment: str) -> tuple[list[int], str]:
+        """Ids of a segment, and what they decode to but that spaces are still marked; known pieces say what they are."""
+        if self.chars.issuperset(segment):
+            way = self.known(segment)
+            id_of = self.id_of
+            return [id_of[p] for p in way], segment
+        ids = self.ids(segment)
+        return ids, self.decode(ids, first=False)
 
     def ids(self, segment: str) -> list[int]:
         out: list[int] = []
         run: list[str] = []
         for c in segment:
-            if c in self.score:
+            if c in self.chars:
                 run.append(c)
                 continue
             if run:
@@ -215,8 +275,8 @@ class Encoder:
                 a, b = self.segment(base), self.segment(w[len(base):])
                 e = (f"{a[0]} {b[0]}", a[1] + b[1], a[2] + b[2])
             else:
-                ids = self.ids(w)
-                e = (" ".join(map(str, ids)), len(ids), self.decode(ids, first=False))
+                ids, said = self.parted(w)
+                e = (" ".join(map(str, ids)), len(ids), said)
         if len(self.new) >= CACHE:
             self.old, self.new = self.new, {}
         if len(w) <= 64:
@@ -237,7 +297,7 @@ class Encoder:
             n += e[1]
             said.append(e[2])
         out.append(str(self.end))
-        text = "".join(said)
+        text = "".join(said).replace(SPACE, " ")
         return out, n, text[1:] if text[:1] == " " else text
 
 
