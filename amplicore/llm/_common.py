@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,11 +37,26 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python workers, once for each Spark context; Spark hands the file out itself."""
+    sc = spark.sparkContext
+    if getattr(sc, "_amplicore_shipped", False):
+        return
+    top = Path(__file__).resolve().parents[1]
+    to = Path(tempfile.mkdtemp(prefix="amplicore-code-")) / "amplicore.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, Path(top.name) / p.relative_to(top))
+    sc.addPyFile(str(to))
+    sc._amplicore_shipped = True
+
+
 def arrow_pass(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Map slices of rows, as columns of Python values, to columns of the schema."""
     from pyspark.sql.types import _parse_datatype_string
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    ship(df.sparkSession)
     out = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
