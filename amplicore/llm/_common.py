@@ -89,3 +89,11 @@ def built(key: str, make: Callable[[], object]) -> object:
             _BUILT.clear()
         _BUILT[key] = make()
     return _BUILT[key]
+
+#: Ids that are sent to all executors for a join (16 MB); more are joined by a shuffle.
+SENT_IDS = 1_000_000
+
+
+def joined_by_id(rows: DataFrame, ids: DataFrame, on: str, how: str) -> DataFrame:
+    """rows (wide) joined with ids (stored, narrow): sent to all executors if few enough by count, else by a shuffle."""
+    return rows.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, on, how)

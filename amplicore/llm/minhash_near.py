@@ -25,14 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amplicore.llm._common import SLICE, arrow_pass, ship, stored, table
+from amplicore.llm._common import SENT_IDS, SLICE, arrow_pass, ship, stored, table
 from amplicore.llm.components import components
 
 BANDS, ROWS, BLOCK = 32, 6, 1024
 #: Signatures that agree in fewer places than this can't reach 0.8 (4.5 standard deviations).
 SIGMAS = 4.5
-#: Ids that are sent to all executors to thin the texts before a join; beyond, the join shuffles them.
-SENT_IDS = 1_000_000
 #: A centre's pairs are confirmed in so many parts, each with its own copy of the centre.
 PARTS = 64
 
@@ -165,8 +163,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int, id_
     part = F.pmod(F.xxhash64("b"), F.lit(PARTS)).alias("part")
     rows = pairs.select("a", part, F.col("b").alias("doc"), F.lit(True).alias("member"))
     rows = rows.union(pairs.select("a", part, F.col("a").alias("doc"), F.lit(False)).distinct())
-    ids = rows.select("doc").distinct()
-    if ids.count() <= SENT_IDS:
+    ids = stored(rows.select("doc").distinct(), "ids")
+    if ids.count() <= SENT_IDS:  # thins the texts before their shuffle
         texts = texts.join(F.broadcast(ids), "doc", "left_semi")
     dealt = rows.join(texts, "doc").repartition("a", "part").sortWithinPartitions("a", "part", "member")
 

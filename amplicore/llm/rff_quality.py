@@ -164,10 +164,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
     return model
 
 
-def score(docs: DataFrame, model: Model | float, carry: list[Column], text_col: str = "text") -> DataFrame:
-    """The carried columns with score (0 to 1). One pass, no exchange."""
+def score(docs: DataFrame, model: Model | float, carry: list[Column], text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """The carried columns with score_col (0 to 1). One pass, no exchange."""
     if not isinstance(model, Model):
-        return docs.select(*carry, F.lit(float(model)).alias("score"))
+        return docs.select(*carry, F.lit(float(model)).alias(score_col))
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))
     key = uuid.uuid4().hex
     rows = docs.select(*carry, F.col(text_col).alias("__text"))
@@ -175,10 +175,10 @@ def score(docs: DataFrame, model: Model | float, carry: list[Column], text_col:
     def run(part: dict[str, list]) -> dict[str, list]:
         m: Model = built(key, lambda: Model(**sent.value))  # type: ignore[assignment]
         texts = part.pop("__text")
-        return part | {"score": m.score(np.array([statistics(t) for t in texts])).tolist() if texts else []}
+        return part | {score_col: m.score(np.array([statistics(t) for t in texts])).tolist() if texts else []}
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema if f.name != "__text")
-    return arrow_pass(rows, run, kept + "score double")
+    return arrow_pass(rows, run, kept + f"`{score_col}` double")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
