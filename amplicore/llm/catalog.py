@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from amplicore.llm.chat_windows import OP2_SQL, op2_chat_windows
 from amplicore.llm.minhash_near import op7_minhash
 from amplicore.llm.mixing import op5_mixing
 from amplicore.llm.ppm_language import op1_language_id
@@ -14,9 +15,10 @@ from amplicore.llm.sentencepiece_bpe import op9_sentencepiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_chat_windows": op2_chat_windows,
     "op5_mixing": op5_mixing,
     "op7_minhash": op7_minhash,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_chat_windows": OP2_SQL}
