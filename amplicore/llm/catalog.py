@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from amplicore.llm.chat_windows import OP2_SQL, op2_chat_windows
 from amplicore.llm.minhash_near import op7_minhash
 from amplicore.llm.mixing import op5_mixing
+from amplicore.llm.pivot_near import OP8_SQL, op8_pivot_near
 from amplicore.llm.ppm_language import op1_language_id
 from amplicore.llm.rff_quality import op10_quality
 from amplicore.llm.sentencepiece_bpe import op9_sentencepiece
@@ -18,7 +19,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_chat_windows": op2_chat_windows,
     "op5_mixing": op5_mixing,
     "op7_minhash": op7_minhash,
+    "op8_pivot_near": op8_pivot_near,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
 }
-ORACLE_SQL: dict[str, str] = {"op2_chat_windows": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_chat_windows": OP2_SQL, "op8_pivot_near": OP8_SQL}
