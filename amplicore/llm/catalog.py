@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from amplicore.llm.avi_mjpeg import op3_avi_mjpeg
 from amplicore.llm.chat_windows import OP2_SQL, op2_chat_windows
 from amplicore.llm.minhash_near import op7_minhash
 from amplicore.llm.mixing import op5_mixing
@@ -17,6 +18,7 @@ from amplicore.llm.sentencepiece_bpe import op9_sentencepiece
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_windows": op2_chat_windows,
+    "op3_avi_mjpeg": op3_avi_mjpeg,
     "op5_mixing": op5_mixing,
     "op7_minhash": op7_minhash,
     "op8_pivot_near": op8_pivot_near,
