@@ -14,12 +14,14 @@ from amplicore.llm.pivot_near import OP8_SQL, op8_pivot_near
 from amplicore.llm.ppm_language import op1_language_id
 from amplicore.llm.rff_quality import op10_quality
 from amplicore.llm.sentencepiece_bpe import op9_sentencepiece
+from amplicore.llm.zstd_toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_chat_windows": op2_chat_windows,
     "op3_avi_mjpeg": op3_avi_mjpeg,
     "op5_mixing": op5_mixing,
+    "op6_toxicity": op6_toxicity,
     "op7_minhash": op7_minhash,
     "op8_pivot_near": op8_pivot_near,
     "op9_sentencepiece": op9_sentencepiece,

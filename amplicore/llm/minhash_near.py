@@ -6,8 +6,9 @@ their signatures (eight bits of every minimum), and what may reach the threshold
 Components come from alternating large-star and small-star.
 
 A bucket never gives all its pairs. First each member is held against the bucket's smallest id; buckets whose members
-then lie in one component are done. In the others, members of different components are compared by signature, block
-against block of at most ``BLOCK`` rows, and only pairs whose signatures come near the threshold leave the task.
+then lie in one component are done. In the others, members outside the bucket's main component are compared by signature
+with all others (sent to the documents if they are few, else block against block of at most ``BLOCK`` rows), and only
+pairs of different components whose signatures come near the threshold leave the task.
 
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8**6)**32 = 6e-5, and fails the signature test with
 3e-6; no cap is set on buckets, candidates or partners.
@@ -33,6 +34,8 @@ BANDS, ROWS, BLOCK = 32, 6, 1024
 SIGMAS = 4.5
 #: A centre's pairs are confirmed in so many parts, each with its own copy of the centre.
 PARTS = 64
+#: Rows of buckets outside their main component that are sent to all executors (25 MB at most); more are met by a shuffle.
+SENT_ROWS = 100_000
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -231,6 +234,39 @@ def apart(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def beside(heads: DataFrame, minor: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
+    """What apart gives, where the rows (key, doc, component) outside their bucket's main component are few enough to be sent
+    to all executors: each document looks its buckets up among them, so no bucket is gathered anywhere."""
+    cut = least_agreement(percent)
+    rows = minor.select("key", "doc", "component").collect()
+    own = {r["doc"]: r["sig"] for r in sigs.join(F.broadcast(minor.select("doc").distinct()), "doc", "left_semi").select("doc", "sig").collect()}
+    at = {doc: i for i, doc in enumerate(own)}
+    index: dict[int, list[int]] = {}
+    for r in rows:
+        index.setdefault(r["key"], []).append(at[r["doc"]])
+    component = np.zeros(len(at), np.int64)
+    for r in rows:
+        component[at[r["doc"]]] = r["component"]
+    sent = heads.sparkSession.sparkContext.broadcast((index, np.array(list(at), np.int64), component, np.frombuffer(b"".join(own.values()), np.uint8).reshape(len(at), -1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, docs, component, sig = sent.value
+        for batch in batches:
+            x = batch.to_pydict()
+            a: list[int] = []
+            b: list[int] = []
+            for doc, comp, bands, own in zip(x["doc"], x["component"], x["bands"], x["sig"], strict=True):
+                met = sorted({i for k in bands for i in index.get(k, ())})
+                if met:
+                    i = np.array(met)
+                    i = i[(component[i] != comp) & ((sig[i] == np.frombuffer(own, np.uint8)).sum(1) >= cut)]
+                    a += np.minimum(docs[i], doc).tolist()
+                    b += np.maximum(docs[i], doc).tolist()
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return heads.select("doc", "component", "bands", "sig").mapInArrow(run, "a long, b long").distinct()
+
+
 def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, n_shingles, component_id, kept of each row of docs."""
     ship(docs.sparkSession)
@@ -248,8 +284,14 @@ def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: s
     links = stored(confirmed(star, docs, n_words, percent, id_col, text_col), "links")
     found = stored(components(links), "components")
     placed = shared.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("key", "doc", "size", F.coalesce("component", "doc").alias("component"))
-    open_ = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("key")
-    more = apart(placed.join(open_, "key", "left_semi").join(heads.select("doc", "sig"), "doc"), percent)
+    kinds = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    open_ = stored(kinds.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("key", "main"), "open")
+    minor = stored(placed.join(open_, (placed["key"] == open_["key"]) & (placed["component"] != open_["main"])).select(placed["key"], "doc", "component"), "minor")
+    if minor.count() <= SENT_ROWS:
+        placed_heads = heads.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("component"), "bands", "sig")
+        more = beside(placed_heads, minor, heads, percent)
+    else:
+        more = apart(placed.join(open_.select("key"), "key", "left_semi").join(heads.select("doc", "sig"), "doc"), percent)
     more = stored(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "apart")
     if not more.isEmpty():
         links = stored(links.union(confirmed(more, docs, n_words, percent, id_col, text_col)), "links")
