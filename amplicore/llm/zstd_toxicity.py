@@ -3,7 +3,7 @@
 Method: two zstandard dictionaries, one trained on toxic and one on ordinary text. A text is cut into windows of about
 ``WINDOW`` bytes at spaces; each is compressed with either dictionary, and the bytes the toxic one saves are its gain. The
 sum of the largest ``TOP`` gains of all windows of the whole text is held against thresholds calibrated by isotonic
-regression on rows kept out of the dictionaries.
+regression on gains of rows under dictionaries of other rows.
 
 zstandard's own trainer keeps what is frequent in a class, which is nearly the same in both (AUC 0.61 on the test
 tables). So the trainer gives the part that both dictionaries share (of ordinary text), and the rest of each is chosen by
@@ -33,7 +33,7 @@ from amplicore.llm._common import arrow_pass, built, crc_mod, table, unit_hash
 from amplicore.llm.rff_quality import isotonic
 
 SEED, WINDOW, TOP, MARKED = 41, 64, 3, 4
-CONTRAST, SURE, LEAST = 30.0, 4.0, 6
+CONTRAST, SURE, LEAST = 30.0, 5.5, 5
 SHARED_BYTES = 6000
 LEAD = bytes(range(31)) * 2
 _BETWEEN = re.compile(rb"[\x00-\x20.,;:!?|*$%&#\"'()<>\[\]{}=/+~_@\\-]+")
@@ -82,8 +82,9 @@ def typical(own: tuple[Counter, int], other: tuple[Counter, int]) -> list[bytes]
     sure = {}
     for f, k in n.items():
         if k >= LEAST and (k + 0.5) / all_n >= CONTRAST * (m[f] + 0.5) / all_m:
-            z = (math.log((k + 1) / all_n) - math.log((m[f] + 1) / all_m)) / math.sqrt(1 / (k + 1) + 1 / (m[f] + 1))
-            if z >= SURE:
+            share = all_n / (all_n + all_m)
+            g = k * math.log(k / ((k + m[f]) * share)) + (m[f] * math.log(m[f] / ((k + m[f]) * (1 - share))) if m[f] else 0.0)
+            if (z := math.sqrt(2 * g)) >= SURE:
                 sure[f] = z
     out: list[bytes] = []
     for f in sorted(sure, key=lambda f: (-sure[f], -len(f), f)):
@@ -144,16 +145,25 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
 
 
 def fit(rows: list[tuple[str | None, int, float]]) -> Model | float:
-    """A model of (text, label, fold in [0, 1)): two thirds make the dictionaries, the others the thresholds."""
+    """A model of (text, label, fold in [0, 1)). Thresholds come from gains of each half under the other half's dictionaries."""
     ones = sum(y for _, y, _ in rows)
     if not rows or ones in (0, len(rows)):
         return ones / len(rows) if rows else 0.5
-    made = [r for r in rows if r[2] >= 0.34]
-    kept = [r for r in rows if r[2] < 0.34]
-    model = dictionaries([t for t, y, _ in made if y], [t for t, y, _ in made if not y])
-    if not kept:
+
+    def made(part: list) -> Model:
+        return dictionaries([t for t, y, _ in part if y], [t for t, y, _ in part if not y])
+
+    halves = [r for r in rows if r[2] < 0.5], [r for r in rows if r[2] >= 0.5]
+    gains, labels = [], []
+    for own, other in (halves, halves[::-1]):
+        if own and other:
+            m = made(other)
+            gains += [m.gain(t) for t, _, _ in own]
+            labels += [y for _, y, _ in own]
+    if not gains:
         return ones / len(rows)
-    model.knots, model.values = isotonic(np.array([model.gain(t) for t, _, _ in kept]), np.array([y for _, y, _ in kept], float))
+    model = made(rows)
+    model.knots, model.values = isotonic(np.array(gains), np.array(labels, float))
     return model
 
 
