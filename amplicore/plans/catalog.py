@@ -1,10 +1,8 @@
-"""Registered queries by name, each with its SQL."""
+"""All registered queries of the matrix engine."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from amplicore.plans import matrix_queries  # noqa: F401  registers its queries
+from amplicore.plans.registry import ORACLE_SQL, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
