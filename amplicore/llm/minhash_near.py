@@ -6,9 +6,9 @@ their signatures (eight bits of every minimum), and what may reach the threshold
 Components come from alternating large-star and small-star.
 
 A bucket never gives all its pairs. First each member is held against the bucket's smallest id; buckets whose members
-then lie in one component are done. In the others, members outside the bucket's main component are compared by signature
-with all others (sent to the documents if they are few, else block against block of at most ``BLOCK`` rows), and only
-pairs of different components whose signatures come near the threshold leave the task.
+then lie in one component are done. In the others, members outside the bucket's main component are held against all other
+members: if they are few they are sent to the documents with their full sets, and only links leave a task; else block
+meets block of at most ``BLOCK`` rows by signature, and near pairs of different components are confirmed afterwards.
 
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8**6)**32 = 6e-5, and fails the signature test with
 3e-6; no cap is set on buckets, candidates or partners.
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amplicore.llm._common import SENT_IDS, SLICE, arrow_pass, ship, stored, table
+from amplicore.llm._common import SENT_IDS, SLICE, arrow_pass, joined_by_id, ship, stored, table
 from amplicore.llm.components import components
 
 BANDS, ROWS, BLOCK = 32, 6, 1024
@@ -36,6 +36,8 @@ SIGMAS = 4.5
 PARTS = 64
 #: Rows of buckets outside their main component that are sent to all executors (25 MB at most); more are met by a shuffle.
 SENT_ROWS = 100_000
+#: And the words in their texts, a text counted for each of its rows.
+SENT_SHINGLES = 40_000_000
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -234,37 +236,66 @@ def apart(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
-def beside(heads: DataFrame, minor: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """What apart gives, where the rows (key, doc, component) outside their bucket's main component are few enough to be sent
-    to all executors: each document looks its buckets up among them, so no bucket is gathered anywhere."""
+def beside(heads: DataFrame, minor: DataFrame, docs: DataFrame, n_words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Links (a, b) of the rows (key, doc, component) outside their bucket's main component, where these are few enough to be
+    sent to all executors with their full sets. Each document looks its buckets up among them; those that find a like
+    signature there are confirmed on full sets at once, so only links leave a task, and of those between one document and one
+    component the first. heads: doc, component, bands, sig."""
     cut = least_agreement(percent)
-    rows = minor.select("key", "doc", "component").collect()
-    own = {r["doc"]: r["sig"] for r in sigs.join(F.broadcast(minor.select("doc").distinct()), "doc", "left_semi").select("doc", "sig").collect()}
-    at = {doc: i for i, doc in enumerate(own)}
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    few = heads.select("doc", "component", "sig").join(F.broadcast(minor.select("doc").distinct()), "doc").join(texts, "doc").dropDuplicates(["doc"])
+
+    def full(part: dict[str, list]) -> dict[str, list]:
+        return {"doc": part["doc"], "component": part["component"], "sig": part["sig"], "own": [s.tobytes() for s in shingle_sets(part["text"], n_words)]}
+
+    own = arrow_pass(few, full, "doc long, component long, sig binary, own binary").collect()
+    at = {r["doc"]: i for i, r in enumerate(own)}
     index: dict[int, list[int]] = {}
-    for r in rows:
+    for r in minor.select("key", "doc").collect():
         index.setdefault(r["key"], []).append(at[r["doc"]])
-    component = np.zeros(len(at), np.int64)
-    for r in rows:
-        component[at[r["doc"]]] = r["component"]
-    sent = heads.sparkSession.sparkContext.broadcast((index, np.array(list(at), np.int64), component, np.frombuffer(b"".join(own.values()), np.uint8).reshape(len(at), -1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, docs, component, sig = sent.value
+    held = {
+        "index": {k: tuple(v) for k, v in index.items()},
+        "doc": np.array([r["doc"] for r in own], np.int64),
+        "component": np.array([r["component"] for r in own], np.int64),
+        "sig": np.frombuffer(b"".join(r["sig"] for r in own), np.uint8).reshape(len(own), -1),
+        "own": [r["own"] for r in own],
+    }
+    sent = heads.sparkSession.sparkContext.broadcast(held)
+
+    def candidates(doc: int, component: int, bands: list[int], sig: bytes) -> np.ndarray:
+        m = sent.value
+        met = sorted({i for k in bands for i in m["index"].get(k, ())})
+        i = np.array(met, np.int64)
+        return i[(m["component"][i] != component) & ((m["sig"][i] == np.frombuffer(sig, np.uint8)).sum(1) >= cut)] if met else i
+
+    def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.to_pydict()
-            a: list[int] = []
-            b: list[int] = []
-            for doc, comp, bands, own in zip(x["doc"], x["component"], x["bands"], x["sig"], strict=True):
-                met = sorted({i for k in bands for i in index.get(k, ())})
-                if met:
-                    i = np.array(met)
-                    i = i[(component[i] != comp) & ((sig[i] == np.frombuffer(own, np.uint8)).sum(1) >= cut)]
-                    a += np.minimum(docs[i], doc).tolist()
-                    b += np.maximum(docs[i], doc).tolist()
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield batch.filter(pa.array([len(candidates(*r)) > 0 for r in zip(x["doc"], x["component"], x["bands"], x["sig"], strict=True)], pa.bool_()))
 
-    return heads.select("doc", "component", "bands", "sig").mapInArrow(run, "a long, b long").distinct()
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        done: set[tuple[int, int]] = set()
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE):
+                x = batch.slice(start, SLICE).to_pydict()
+                a, b = [], []
+                for s, doc, comp, bands, sig in zip(shingle_sets(x["text"], n_words), x["doc"], x["component"], x["bands"], x["sig"], strict=True):
+                    for i in candidates(doc, comp, bands, sig).tolist():
+                        if (i, comp) in done:
+                            continue
+                        t = np.frombuffer(m["own"][i], np.uint64)
+                        near = t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s
+                        both = int(near.sum())
+                        if 100 * both >= percent * (len(s) + len(t) - both):
+                            done.add((i, comp))
+                            a.append(int(m["doc"][i]))
+                            b.append(doc)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    rows = heads.select("doc", "component", "bands", "sig")
+    met = stored(rows.mapInArrow(meeting, rows.schema), "meeting")
+    return joined_by_id(texts.where("doc is not null"), met, "doc", "inner").select("doc", "component", "bands", "sig", "text").mapInArrow(linked, "a long, b long")
 
 
 def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -287,13 +318,14 @@ def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: s
     kinds = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_ = stored(kinds.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("key", "main"), "open")
     minor = stored(placed.join(open_, (placed["key"] == open_["key"]) & (placed["component"] != open_["main"])).select(placed["key"], "doc", "component"), "minor")
-    if minor.count() <= SENT_ROWS:
+    weight = minor.join(base.select("doc", "n"), "doc").agg(F.count("*"), F.sum("n")).first()
+    if weight[0] and weight[0] <= SENT_ROWS and weight[1] <= SENT_SHINGLES:
         placed_heads = heads.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("component"), "bands", "sig")
-        more = beside(placed_heads, minor, heads, percent)
-    else:
+        links = stored(links.union(beside(placed_heads, minor, docs, n_words, percent, id_col, text_col)), "links")
+        found = stored(components(links), "components")
+    elif weight[0]:
         more = apart(placed.join(open_.select("key"), "key", "left_semi").join(heads.select("doc", "sig"), "doc"), percent)
-    more = stored(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "apart")
-    if not more.isEmpty():
+        more = stored(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "apart")
         links = stored(links.union(confirmed(more, docs, n_words, percent, id_col, text_col)), "links")
         found = stored(components(links), "components")
     out = base.join(found.withColumnRenamed("id", "rep"), "rep", "left")
