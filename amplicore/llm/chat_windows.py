@@ -1,7 +1,7 @@
 """Chat formatting in budgeted windows (operator 2); DataFrame functions only.
 
 Method: prefix sums of the turns' tokens choose windows that begin and end at turns: a window takes turns while system
-turn, history allowance and new turns fit the budget (a turn that alone is larger makes a window of its own). Every window
+turn, history allowance and new turns fit the budget (a turn that alone, beside the system turn, is larger makes a window of its own). Every window
 but the first begins with the conversation's system turn, if its first turn is one, and with the last turns before it, as
 many as the history allowance and ``history_turns`` let in. The loss mask covers each assistant text once, where it is new;
 repeated turns are never in it.
