@@ -11,13 +11,13 @@ from amplicore.plans.bridge import AB_SQL, SAMPLE_SQL, TAX_SQL, abundance, linea
 from amplicore.plans.registry import query
 
 _SMALL_SQL = """sm AS (SELECT p_brand AS obs_id, r_name AS sample_id, CAST(sum(l_quantity) AS BIGINT) AS n FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_discount > 0.09 GROUP BY 1, 2),
+JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2),
 un AS (SELECT obs_id, sample_id, md5(obs_id || '|' || sample_id || '|' || i) AS h FROM (SELECT obs_id, sample_id, unnest(generate_series(1, n)) AS i FROM sm)),
 rk AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY h) AS r, count(*) OVER (PARTITION BY sample_id) AS total FROM un)"""
 
 
 def _small(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").where("l_discount > 0.09")
+    lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("obs_id"))
     sup = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -41,10 +41,10 @@ def subsample_ratio(spark, sf_dir):
     return P.subsampled(_small(spark, sf_dir), ratio=0.25)
 
 
-@query("rarefaction_curve", f"""WITH {_SMALL_SQL}, f AS (SELECT sample_id, obs_id, min(r) AS r FROM rk GROUP BY 1, 2), g AS (SELECT sample_id, unnest(generate_series(1, any_value(total) // 50)) AS k FROM rk GROUP BY 1)
-SELECT g.sample_id, k * 50 AS nb_sampled, count(f.r) AS taxa FROM g LEFT JOIN f ON f.sample_id = g.sample_id AND f.r <= k * 50 GROUP BY 1, 2""")
+@query("rarefaction_curve", f"""WITH {_SMALL_SQL}, f AS (SELECT sample_id, obs_id, min(r) AS r FROM rk GROUP BY 1, 2), g AS (SELECT sample_id, unnest(generate_series(1, any_value(total) // 5000)) AS k FROM rk GROUP BY 1)
+SELECT g.sample_id, k * 5000 AS nb_sampled, count(f.r) AS taxa FROM g LEFT JOIN f ON f.sample_id = g.sample_id AND f.r <= k * 5000 GROUP BY 1, 2""")
 def rarefaction_curve(spark, sf_dir):
-    return P.rarefaction(_small(spark, sf_dir), None, 50)
+    return P.rarefaction(_small(spark, sf_dir), None, 5000)
 
 
 @query("rarefaction_step", f"WITH {AB_SQL}, t AS (SELECT sample_id, sum(n) AS n FROM ab GROUP BY 1), r AS (SELECT n, row_number() OVER (ORDER BY n, sample_id) AS r, count(*) OVER () AS k FROM t) SELECT CAST(greatest(1, n // 35) AS BIGINT) AS step FROM r WHERE r = k // 4 + 1")
@@ -118,10 +118,10 @@ def diff_table_split(spark, sf_dir):
 
 
 @query("differential_table", """SELECT p_partkey AS obs_id, p_brand AS brand, (p_size - 25) / 10::DOUBLE AS log2fc, CASE WHEN p_size > 25 THEN 'over' ELSE 'under' END AS side,
-CASE WHEN p_size >= 45 THEN '#b40426' WHEN p_size >= 35 THEN '#ee8468' WHEN p_size <= 5 THEN '#3b4cc0' WHEN p_size <= 15 THEN '#8db0fe' ELSE '#dddddd' END AS colour FROM part WHERE p_partkey % 100 < 5""")
+CASE WHEN p_size >= 45 THEN '#b40426' WHEN p_size >= 35 THEN '#ee8468' WHEN p_size <= 5 THEN '#3b4cc0' WHEN p_size <= 15 THEN '#8db0fe' ELSE '#dddddd' END AS colour FROM part WHERE p_size < 5""")
 def differential_table(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    stats = p.select(F.col("p_partkey").alias("obs_id"), ((F.col("p_size") - 25) / 10).alias("log2fc"), (F.col("p_partkey") % 100 / 100).alias("padj"))
+    stats = p.select(F.col("p_partkey").alias("obs_id"), ((F.col("p_size") - 25) / 10).alias("log2fc"), (F.col("p_size") / 100).alias("padj"))
     out = E.differential(stats, p.select(F.col("p_partkey").alias("obs_id"), F.col("p_brand").alias("brand")), 0.05)
     return out.select("obs_id", "brand", "log2fc", "side", E.map_style(F.col("log2fc"), F.col("padj"))[0].alias("colour"))
 
@@ -150,14 +150,14 @@ def pathway_enrichment(spark, sf_dir):
 
 
 def _flag(flag: str) -> str:
-    return f"{flag.lower()}_ AS (SELECT l_partkey AS obs_id, sum(l_quantity) AS n FROM lineitem WHERE l_returnflag = '{flag}' AND l_discount > 0.05 GROUP BY 1)"
+    return f"{flag.lower()}_ AS (SELECT l_partkey AS obs_id, sum(l_quantity) AS n FROM lineitem WHERE l_returnflag = '{flag}' GROUP BY 1)"
 
 
 _RANKED = " UNION ALL ".join(f"SELECT {k}::BIGINT AS rank, {p} AS taxon, sum(n) AS n FROM {{0}}_ JOIN part ON obs_id = p_partkey GROUP BY 2" for k, p in ((1, "p_type"), (2, "p_type || ';' || p_brand"), (3, "p_type || ';' || p_brand || ';' || p_name")))
 
 
 def _flagged(spark, sf_dir, flag):
-    return table(spark, sf_dir, "lineitem").where((F.col("l_returnflag") == flag) & (F.col("l_discount") > 0.05)).groupBy(F.col("l_partkey").alias("obs_id")).agg(F.sum("l_quantity").alias("count"))
+    return table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag).groupBy(F.col("l_partkey").alias("obs_id")).agg(F.sum("l_quantity").alias("count"))
 
 
 @query("abundance_by_rank", f"WITH {_flag('R')}, x AS ({_RANKED.format('r')}) SELECT rank, taxon, n AS count FROM x")
@@ -177,11 +177,11 @@ def duplicate_groups(spark, sf_dir):
     return A.identical(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), F.col("text").alias("sequence")))
 
 
-@query("recovered_references", """WITH w AS (SELECT DISTINCT source AS sample_id, text FROM documents WHERE doc_id % 2 = 0), g AS (SELECT source AS sample_id, text, count(*) AS n FROM documents WHERE doc_id % 3 < 2 GROUP BY 1, 2)
+@query("recovered_references", """WITH w AS (SELECT DISTINCT source AS sample_id, text FROM documents), g AS (SELECT source AS sample_id, text, count(*) AS n FROM documents WHERE lang <> 'fr' GROUP BY 1, 2)
 SELECT sample_id, count(*) AS expected, count(n) AS found, count(*) FILTER (n > 1) AS split FROM w LEFT JOIN g USING (sample_id, text) GROUP BY 1""")
 def recovered_references(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("source").alias("sample_id"), F.col("text").alias("sequence"), F.col("doc_id").alias("seq_id"))
-    return A.recovered(d.where("seq_id % 2 = 0"), d.where("seq_id % 3 < 2"))
+    d = table(spark, sf_dir, "documents").select(F.col("source").alias("sample_id"), F.col("text").alias("sequence"), F.col("doc_id").alias("seq_id"), "lang")
+    return A.recovered(d, d.where("lang <> 'fr'"))
 
 
 @query("clean_foreign_taxonomy", f"WITH {TAX_SQL} SELECT obs_id, array_to_string(taxonomy, '|') AS lineage FROM tax")
