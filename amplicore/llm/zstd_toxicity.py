@@ -24,6 +24,7 @@ import math
 import re
 import uuid
 from collections import Counter
+from collections.abc import Container
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,27 +62,44 @@ def windows(raw: bytes) -> list[bytes]:
     return out
 
 
-def contexts(texts: list[bytes]) -> tuple[Counter, int]:
-    """In how many distinct contexts (the word before, the word) each word and beginning of a word stands; all contexts."""
-    pairs = set()
-    for t in texts:
+def contexts(texts: list[bytes]) -> tuple[dict[bytes, int], int]:
+    """In how many distinct contexts (the word before it) each word stands, and all distinct contexts."""
+    number: dict[bytes, int] = {}
+    pairs = np.empty(0, np.int64)
+    parts: list[np.ndarray] = []
+    for k, t in enumerate(texts):
         words = t.split()
-        pairs.update(zip([b"", *words], words))
-    n: Counter = Counter()
-    for w, k in Counter(w for _, w in pairs).items():
-        n[b" " + w + b" "] += k
-        for cut in (4, 5, 6, 7, 8, 10):
-            if len(w) > cut:
-                n[b" " + w[:cut]] += k
-    return n, max(1, len(pairs))
+        ids = np.fromiter((number.setdefault(w, len(number) + 1) for w in words), np.int64, len(words))
+        parts.append(np.concatenate([[0], ids[:-1]]).astype(np.int64) << 32 | ids if len(ids) else ids)
+        if k % 500 == 499:
+            pairs, parts = np.unique(np.concatenate([pairs, *parts])), []
+    pairs = np.unique(np.concatenate([pairs, *parts]))
+    n = np.bincount(pairs & 0xFFFFFFFF, minlength=len(number) + 1)
+    return {w: int(n[i]) for w, i in number.items()}, max(1, len(pairs))
+
+
+def fragments(words: dict[bytes, int], wanted: Container[bytes] | None = None) -> dict[bytes, int]:
+    """Contexts of words and of their beginnings: of those wanted, or of all that have LEAST at least. One length at a time, to hold few."""
+    out: dict[bytes, int] = {}
+    for cut in (4, 5, 6, 7, 8, 10, None):
+        n: Counter = Counter()
+        for w, k in words.items():
+            if cut is None or len(w) > cut:
+                f = b" " + (w + b" " if cut is None else w[:cut])
+                if wanted is None or f in wanted:
+                    n[f] += k
+        out.update((f, k) for f, k in n.items() if wanted is not None or k >= LEAST)
+    return out
 
 
-def typical(own: tuple[Counter, int], other: tuple[Counter, int]) -> list[bytes]:
+def typical(own: tuple[dict[bytes, int], int], other: tuple[dict[bytes, int], int]) -> list[bytes]:
     """What a class uses CONTRAST times as often as the other, surest first; of a word's beginnings the one that says most."""
-    (n, all_n), (m, all_m) = own, other
+    all_n, all_m = own[1], other[1]
+    n = fragments(own[0])
+    m: Counter = Counter(fragments(other[0], wanted=n))
     sure = {}
     for f, k in n.items():
-        if k >= LEAST and (k + 0.5) / all_n >= CONTRAST * (m[f] + 0.5) / all_m:
+        if (k + 0.5) / all_n >= CONTRAST * (m[f] + 0.5) / all_m:
             share = all_n / (all_n + all_m)
             g = k * math.log(k / ((k + m[f]) * share)) + (m[f] * math.log(m[f] / ((k + m[f]) * (1 - share))) if m[f] else 0.0)
             if (z := math.sqrt(2 * g)) >= SURE:
