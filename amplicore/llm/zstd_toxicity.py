@@ -9,7 +9,7 @@ zstandard's own trainer keeps what is frequent in a class, which is nearly the s
 tables). So the trainer gives the part that both dictionaries share (of ordinary text), and the rest of each is chosen by
 contrast: beginnings of words and whole words that its class uses ``CONTRAST`` times as often as the other, counted by
 distinct contexts, so that copies of one text count once. Texts are lower-cased, runs of white space and marks become one
-space, and the first ``MARKED`` bytes of each word get their high bit turned, so that a match must begin where a word does.
+space, and each word is turned by a mask of its first bytes, so that a match must begin where a word does.
 Every window begins with ``LEAD``, which both dictionaries hold: so short windows are never stored uncompressed.
 
 Training reads a bounded sample of labelled rows: about ``max_rows``, by a stable hash of the id, with whole texts.
@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from amplicore.llm._common import arrow_pass, built, crc_mod, table, unit_hash
 from amplicore.llm.rff_quality import isotonic
 
-SEED, WINDOW, TOP, MARKED = 41, 64, 3, 4
+SEED, WINDOW, TOP = 41, 64, 3
 CONTRAST, SURE, LEAST = 30.0, 5.5, 5
 SHARED_BYTES = 6000
+FOLDS = 4
 LEAD = bytes(range(31)) * 2
 _BETWEEN = re.compile(rb"[\x00-\x20.,;:!?|*$%&#\"'()<>\[\]{}=/+~_@\\-]+")
 
@@ -45,19 +46,26 @@ def plain(text: str | None) -> bytes:
 
 
 def marked(raw: bytes) -> bytes:
+    """Each word's bytes turned by a mask of its first three, so that words match from where they begin or not at all."""
     x = np.frombuffer(raw, np.uint8)
-    at = np.arange(len(x))
-    into = at - np.maximum.accumulate(np.where(x == 32, at, -1))
-    return np.where((into >= 1) & (into <= MARKED), x ^ 128, x).astype(np.uint8).tobytes()
+    space = x == 32
+    begin = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    if not len(begin):
+        return raw
+    ahead = np.append(x, np.array([32, 32], np.uint8)).astype(np.int64)
+    mask = (ahead[begin] * 73 + ahead[begin + 1] * 151 + ahead[begin + 2] * 29 + 128) & 255
+    of = np.cumsum(np.bincount(begin, minlength=len(x)))
+    return np.where(space | (of == 0), x, x ^ mask[of - 1].astype(np.uint8)).astype(np.uint8).tobytes()
 
 
 def windows(raw: bytes) -> list[bytes]:
-    out, at, n = [], 0, len(raw)
+    """Marked parts of about WINDOW bytes, cut at spaces."""
+    out, at, n, turned = [], 0, len(raw), marked(raw)
     while at < n:
         end = at + WINDOW
         if end < n and (cut := raw.rfind(b" ", at + 1, end)) > 0:
             end = cut
-        out.append(raw[at:end])
+        out.append(turned[at:end])
         at = end
     return out
 
@@ -134,7 +142,7 @@ class Model:
 
     def gain(self, text: str | None) -> float:
         toxic, ordinary = self._compress()
-        gains = sorted((len(ordinary(LEAD + w)) - len(toxic(LEAD + w)) for w in windows(marked(plain(text)))), reverse=True)
+        gains = sorted((len(ordinary(LEAD + w)) - len(toxic(LEAD + w)) for w in windows(plain(text))), reverse=True)
         return float(sum(g for g in gains[:TOP] if g > 0))
 
     def score(self, text: str | None) -> float:
@@ -148,7 +156,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     import zstandard
 
     own, other = [plain(t) for t in toxic], [plain(t) for t in ordinary]
-    parts = [windows(marked(t)) for t in other]
+    parts = [windows(t) for t in other]
     samples = [w for p in parts for w in p[:: 1 + len(p) // 64]][:30_000]
     try:
         shared = zstandard.train_dictionary(8192, samples).as_bytes()[-SHARED_BYTES:]
@@ -163,7 +171,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
 
 
 def fit(rows: list[tuple[str | None, int, float]]) -> Model | float:
-    """A model of (text, label, fold in [0, 1)). Thresholds come from gains of each half under the other half's dictionaries."""
+    """A model of (text, label, fold in [0, 1)). Thresholds come from gains of each of FOLDS parts under the others' dictionaries."""
     ones = sum(y for _, y, _ in rows)
     if not rows or ones in (0, len(rows)):
         return ones / len(rows) if rows else 0.5
@@ -171,9 +179,10 @@ def fit(rows: list[tuple[str | None, int, float]]) -> Model | float:
     def made(part: list) -> Model:
         return dictionaries([t for t, y, _ in part if y], [t for t, y, _ in part if not y])
 
-    halves = [r for r in rows if r[2] < 0.5], [r for r in rows if r[2] >= 0.5]
     gains, labels = [], []
-    for own, other in (halves, halves[::-1]):
+    for k in range(FOLDS):
+        own = [r for r in rows if int(r[2] * FOLDS) == k]
+        other = [r for r in rows if int(r[2] * FOLDS) != k]
         if own and other:
             m = made(other)
             gains += [m.gain(t) for t, _, _ in own]
