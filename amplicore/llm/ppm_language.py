@@ -157,13 +157,14 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return build(grams, max_contexts) if grams else None
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] | None = None) -> DataFrame:
-    """Each row's id (and carried columns) with lang_pred, score, and bits_per_byte under the language found. One pass, no exchange."""
+def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] | None = None, prefix: str = "") -> DataFrame:
+    """Each row's id (and carried columns) with lang_pred, score, and bits_per_byte under the language found (their names after
+    prefix, if carried columns have such names). One pass, no exchange."""
     text = F.col(text_col)
     cols = [F.col(id_col).alias("__id"), *(carry or [])]
     letters = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     if model is None:
-        none = docs.select(*cols, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_byte"))
+        none = docs.select(*cols, F.lit("und").alias(f"{prefix}lang_pred"), F.lit(0.0).alias(f"{prefix}score"), F.lit(None).cast("double").alias(f"{prefix}bits_per_byte"))
         return none.withColumnRenamed("__id", id_col)
     sent = docs.sparkSession.sparkContext.broadcast(vars(model))
     key = uuid.uuid4().hex
@@ -181,9 +182,9 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
             odds = np.exp2(-(bits - least[:, None]) * np.minimum(1, EVIDENCE / np.maximum(n, 1))[:, None])
             for j, i in enumerate(some):
                 pred[i], score[i], per[i] = m.langs[best[j]], float(1 / odds[j].sum()), float(least[j] / n[j])
-        return part | {"lang_pred": pred, "score": score, "bits_per_byte": per}
+        return part | {f"{prefix}lang_pred": pred, f"{prefix}score": score, f"{prefix}bits_per_byte": per}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text") + ", lang_pred string, score double, bits_per_byte double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text") + f", `{prefix}lang_pred` string, `{prefix}score` double, `{prefix}bits_per_byte` double"
     return arrow_pass(rows, run, schema).withColumnRenamed("__id", id_col)
 
 

@@ -22,8 +22,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = ppm_language.train(docs)
     if model is None:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    found = ppm_language.identify(docs, model, id_col=docs.columns[0], carry=[F.col(c) for c in docs.columns[1:]])
-    return found.where((F.col("lang_pred") != "und") & (F.col("bits_per_byte") <= MOST_BITS)).select(*docs.columns)
+    found = ppm_language.identify(docs, model, id_col=docs.columns[0], carry=[F.col(c) for c in docs.columns[1:]], prefix="__")
+    return found.where((F.col("__lang_pred") != "und") & (F.col("__bits_per_byte") <= MOST_BITS)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,6 +27,20 @@ def test_clean_documents_stay(spark):
     assert kept.join(labels, "doc_id", "left_semi").count() >= 0.95 * good
 
 
+def test_awkward_documents(spark, awkward):
+    texts = ["the cat sat on the mat near the dog " * 5, "der hund und die katze und das haus da " * 5] * 20 + awkward
+    rows = [(i if i != 45 else None, t, ("en", "de")[i % 2] if i < 40 else None, None, 1, "clash", 2.0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, score string, lang_pred double")
+    for name, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, "/root/testdata/sf0.001").persist()
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", "score", "lang_pred"], name
+    assert 0 < docs.count() < 10
+    assert P.STAGES[-1][1](spark, docs, "").count() == docs.count()
+    none = docs.where("false")
+    for name, stage in P.STAGES:
+        assert stage(spark, none, "/root/testdata/sf0.001").count() == 0, name
+
+
 def test_catalog():
     names = list(catalog.QUERIES)
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
