@@ -6,9 +6,10 @@ their signatures (eight bits of every minimum), and what may reach the threshold
 Components come from alternating large-star and small-star.
 
 A bucket never gives all its pairs. First each member is held against the bucket's smallest id; buckets whose members
-then lie in one component are done. In the others, members outside the bucket's main component are held against all other
-members: if they are few they are sent to the documents with their full sets, and only links leave a task; else block
-meets block of at most ``BLOCK`` rows by signature, and near pairs of different components are confirmed afterwards.
+then lie in one component are done. In the others, members of different components are compared by signature: in buckets of
+at most ``SMALL`` rows with each other; in larger ones the members outside the bucket's main component are sent to the
+documents with their full sets, if they are few, and only links leave a task; else block meets block of at most ``BLOCK``
+rows. Near pairs of different components are confirmed on full sets.
 
 At similarity 0.8 a pair shares no bucket with probability (1 - 0.8**6)**32 = 6e-5, and fails the signature test with
 3e-6; no cap is set on buckets, candidates or partners.
@@ -34,10 +35,10 @@ BANDS, ROWS, BLOCK = 32, 6, 1024
 SIGMAS = 4.5
 #: A centre's pairs are confirmed in so many parts, each with its own copy of the centre.
 PARTS = 64
-#: Rows of buckets outside their main component that are sent to all executors (25 MB at most); more are met by a shuffle.
-SENT_ROWS = 100_000
-#: And the words in their texts, a text counted for each of its rows.
-SENT_SHINGLES = 40_000_000
+#: Buckets of so many rows at most are searched pair by pair within their task.
+SMALL = 64
+#: Of larger buckets, rows outside their main component that are sent to all executors, and the words in their texts (32 MB).
+SENT_ROWS, SENT_SHINGLES = 100_000, 4_000_000
 
 _RNG = np.random.default_rng(7)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
@@ -317,17 +318,20 @@ def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: s
     placed = shared.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("key", "doc", "size", F.coalesce("component", "doc").alias("component"))
     kinds = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     open_ = stored(kinds.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("key", "main"), "open")
-    minor = stored(placed.join(open_, (placed["key"] == open_["key"]) & (placed["component"] != open_["main"])).select(placed["key"], "doc", "component"), "minor")
-    weight = minor.join(base.select("doc", "n"), "doc").agg(F.count("*"), F.sum("n")).first()
-    if weight[0] and weight[0] <= SENT_ROWS and weight[1] <= SENT_SHINGLES:
+    minor = placed.where(F.col("size") > SMALL).join(open_, (placed["key"] == open_["key"]) & (placed["component"] != open_["main"]))
+    minor = stored(minor.select(placed["key"], "doc", "component"), "minor")
+    weight = minor.select("doc").distinct().join(base.select("doc", "n"), "doc").agg(F.sum("n")).first()[0] or 0
+    few = weight <= SENT_SHINGLES and minor.count() <= SENT_ROWS
+    rows = placed.join(open_.select("key"), "key", "left_semi")
+    rows = rows.where(F.col("size") <= SMALL) if few else rows
+    more = apart(rows.join(heads.select("doc", "sig"), "doc"), percent)
+    more = stored(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "apart")
+    if not more.isEmpty():
+        links = links.union(stored(confirmed(more, docs, n_words, percent, id_col, text_col), "links"))
+    if few and weight:
         placed_heads = heads.join(found.withColumnRenamed("id", "doc"), "doc", "left").select("doc", F.coalesce("component", "doc").alias("component"), "bands", "sig")
-        links = stored(links.union(beside(placed_heads, minor, docs, n_words, percent, id_col, text_col)), "links")
-        found = stored(components(links), "components")
-    elif weight[0]:
-        more = apart(placed.join(open_.select("key"), "key", "left_semi").join(heads.select("doc", "sig"), "doc"), percent)
-        more = stored(more.join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "apart")
-        links = stored(links.union(confirmed(more, docs, n_words, percent, id_col, text_col)), "links")
-        found = stored(components(links), "components")
+        links = links.union(stored(beside(placed_heads, minor, docs, n_words, percent, id_col, text_col), "links"))
+    found = stored(components(links), "components")
     out = base.join(found.withColumnRenamed("id", "rep"), "rep", "left")
     component = F.coalesce("component", "rep")
     return out.select("doc", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"))

@@ -55,11 +55,14 @@ def corpus():
     return texts + [None, "", "\n ", "a b", "A B", "a b c", texts[0].upper(), texts[0], "x " * 5000]
 
 
-@pytest.mark.parametrize("path", ["few", "many"])
+@pytest.mark.parametrize("path", ["few", "many", "small"])
 def test_near_classes(spark, corpus, path, monkeypatch):
+    monkeypatch.setattr(M, "SMALL", 2)
     if path == "many":
         monkeypatch.setattr(M, "SENT_ROWS", 0)
         monkeypatch.setattr(M, "BLOCK", 8)
+    if path == "small":
+        monkeypatch.undo()
     rows = [(i, t, "k") for i, t in enumerate(corpus)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
     got = {r["doc"]: r for r in M.near_classes(docs, n_words=4).collect()}
