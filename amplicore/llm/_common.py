@@ -85,7 +85,7 @@ _BUILT: dict[str, object] = {}
 
 def built(key: str, make: Callable[[], object]) -> object:
     if key not in _BUILT:
-        if len(_BUILT) > 3:
+        if len(_BUILT) > 1:
             _BUILT.clear()
         _BUILT[key] = make()
     return _BUILT[key]

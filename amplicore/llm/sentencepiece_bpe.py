@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from amplicore.llm._common import arrow_pass, built, table
 
 SPACE = "▁"
-#: Segments kept in each of the two generations of the cache of a worker.
-CACHE = 250_000
+#: Segments kept in each of the two generations of the cache of a worker (25 MB each), and judged pairs of pieces (40 MB).
+CACHE = 80_000
+FITS = 250_000
 
 
 def read_model(path: str) -> dict:
@@ -182,7 +183,7 @@ class Encoder:
                 until_a, a = at_a, parts[a][1]
             else:
                 until_b, b = at_b, parts[b][0]
-        if len(self.fits) > 1_000_000:
+        if len(self.fits) > FITS:
             self.fits.clear()
         self.fits[key] = ok
         return ok
