@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-import zipfile
 from collections.abc import Callable, Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amplicore.storage import ship, shared_dir, stored
+
+__all__ = ["SENT_IDS", "SLICE", "arrow_pass", "built", "crc_mod", "joined_by_id", "shared_dir", "ship", "stored", "table", "unit_hash"]
+
 #: Rows that a Python pass looks at together; bounds a worker's memory whatever the Arrow batch holds.
 SLICE = 512
 
@@ -20,37 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.amplicore.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="amplicore-")
-        spark.conf.set("spark.amplicore.dir", found)
-    return found.rstrip("/")
-
-
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """df written to the shared folder and read back: later steps survive lost executors and never compute it again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Give this package to the executors' Python workers, once for each Spark context; Spark hands the file out itself."""
-    sc = spark.sparkContext
-    if getattr(sc, "_amplicore_shipped", False):
-        return
-    top = Path(__file__).resolve().parents[1]
-    to = Path(tempfile.mkdtemp(prefix="amplicore-code-")) / "amplicore.zip"
-    with zipfile.ZipFile(to, "w") as z:
-        for p in sorted(top.rglob("*.py")):
-            z.write(p, Path(top.name) / p.relative_to(top))
-    sc.addPyFile(str(to))
-    sc._amplicore_shipped = True
-
-
 def arrow_pass(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str) -> DataFrame:
     """Map slices of rows, as columns of Python values, to columns of the schema."""
     from pyspark.sql.types import _parse_datatype_string
