@@ -60,7 +60,7 @@ def write_biom(e: Experiment, path: str, generated_by: str = "amplicore") -> Non
     """One sparse JSON document in ordinal order. A document is one file by its nature; the native sink is Parquet."""
     obs, smp = e.observations.select("id", "ord", "metadata"), e.samples.select("id", "ord", "metadata")
     at = lambda df, to: df.select(F.col("id").alias(f"{to}_id"), F.col("ord").alias(to))
-    cells = e.abundance.where("count <> 0").join(at(obs.withColumnRenamed("ord", "ord"), "i"), F.col("obs_id") == F.col("i_id")).join(at(smp, "j"), F.col("sample_id") == F.col("j_id"))
+    cells = e.abundance.where("count <> 0").join(at(obs, "i"), F.col("obs_id") == F.col("i_id")).join(at(smp, "j"), F.col("sample_id") == F.col("j_id"))
     data = cells.agg(F.array_sort(F.collect_list(F.array("i", "j", F.col("count").cast("long")))).alias("data"))
 
     def subjects(df: DataFrame, to: str) -> DataFrame:
