@@ -1,12 +1,20 @@
 """HTML main text by equivalence-class template deduction (operator 4).
 
 Method: a page is a sequence of tokens: its elements, each by the path of tags and classes that leads to it, and the text
-blocks outside the main element, each by path and text. The pages of one host give every token an occurrence vector (how
-often it stands on each page); tokens with equal vectors form an equivalence class. Classes that occur on at least half of
-the host's pages, and on three, are valid; nested by the pages they cover and by their place they are the host's template.
-What isn't template fills its slots. A page's main text is what stands in slots whose template elements aren't menus, headers, footers, sidebars,
-notices, adverts, forms or comments, inside the article (or main) element if the page has one; blocks of constant text
-are template and go. Inside the main element constant blocks stay, since copies of an article repeat them.
+blocks that may be main text, each by path and text. The pages of one host give every token an occurrence vector (how often
+it stands on each page); tokens with equal vectors form an equivalence class. Classes that occur on at least half of the
+host's pages, and on three, are valid; they nest by the pages they cover. What stands on a page beside a class and the
+classes around it fills the class's slots.
+
+A constant block of a valid class is template if its slots hold at least three distinct contents, of as many words as the
+class's own blocks at least, or as the block itself if the element around it belongs to the class too (there never stands
+anything else). So a story that many pages copy stays, as nothing but a date varies beside it, while a notice repeated in
+different articles goes, inside the main element too. Constant text longer than what varies beside it stays: it can't be
+told from a copied article.
+
+A page's main text is what fills the slots and isn't in menus, headers, footers, sidebars, notices, adverts, forms or
+comments, inside the article (or main) element if the page has one. These roles are read from tags and names (AWAY_TAGS,
+AWAY_WORDS, AWAY_ROLES), not deduced from the classes.
 
 A vector is kept as a sum of per-page hashes, which can be added in any order: however many pages a host has, no task holds
 its pages, and counts cover all of them. Hosts with fewer than three pages have no template; there the same roles are
@@ -146,14 +154,19 @@ def _hash(*parts: object) -> int:
     return xxhash.xxh64_intdigest("\x1f".join(map(str, parts)).encode("utf-8", "surrogatepass")) - 2**63
 
 
+def _texts(blocks: list[Block]) -> list[tuple[Block, str, int]]:
+    """The blocks whose roles allow main text, with their text and token."""
+    anchored = any(b.main and not b.away for b in blocks)
+    return [(b, t, _hash("t", *b.path, t)) for b in blocks if not b.away and (b.main or not anchored) and (t := b.text())]
+
+
 def _tokens(blocks: list[Block], paths: list[tuple[str, ...]]) -> dict[int, tuple[int, int]]:
     """Of each token how often it stands on the page, and where first."""
     out: dict[int, list[int]] = {}
     for k, p in enumerate(paths):
         out.setdefault(_hash("e", *p), [0, k])[0] += 1
-    for b in blocks:
-        if not b.main and (t := b.text()):
-            out.setdefault(_hash("t", *b.path, t), [0, len(out)])[0] += 1
+    for _, _, token in _texts(blocks):
+        out.setdefault(token, [0, len(out)])[0] += 1
     return {k: (v[0], v[1]) for k, v in out.items()}
 
 
@@ -190,27 +203,59 @@ def nested(template: DataFrame) -> DataFrame:
     return classes.withColumn("level", F.dense_rank().over(Window.partitionBy("host").orderBy(F.desc("pages"))))
 
 
+def slots(page: str | None, classes: dict[int, tuple[int, int]]) -> list[tuple[int, int]]:
+    """token, content: constant blocks of the page that its slots speak for as template, with a hash of what fills the slots
+    of their class. classes: class and pages of each token of the host's valid classes."""
+    texts = _texts(parsed(page)[0])
+    found = [classes.get(token) for _, _, token in texts]
+    words = [len(t.split()) for _, t, _ in texts]
+    filled = {}
+    for c in {c for c in found if c}:
+        rest = [i for i, f in enumerate(found) if f is None or f[1] < c[1]]
+        own = sum(w for w, f in zip(words, found, strict=True) if f == c)
+        filled[c] = own, sum(words[i] for i in rest), _hash("s", *(texts[i][1] for i in rest))
+    out = []
+    for (b, _, token), c, n in zip(texts, found, words, strict=True):
+        if c:
+            own, beside, content = filled[c]
+            if beside >= (n if classes.get(_hash("e", *b.path)) == c else own):
+                out.append((token, content))
+    return out
+
+
+def constant(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """host, token: the constant blocks that are template. rows: host, html; found: templates of them, stored."""
+    by_host = found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("token", "class", "pages"))).alias("t"))
+    by_host = by_host.select("host", "t.token", "t.class", "t.pages")  # a template's size is bounded by a page's
+    if found.count() <= SENT_TOKENS:
+        by_host = F.broadcast(by_host)
+
+    def run(part: dict[str, list]) -> dict[str, list]:
+        of: dict[str, dict[int, tuple[int, int]]] = {}
+        out: dict[tuple[str, int, int], None] = {}
+        for host, page, token, group, pages in zip(part["host"], part["html"], part["token"], part["class"], part["pages"], strict=True):
+            if host not in of:
+                of[host] = dict(zip(token, zip(group, pages, strict=True), strict=True))
+            for t, content in slots(page, of[host]):
+                out[host, t, content] = None
+        return {"host": [k[0] for k in out], "token": [k[1] for k in out], "content": [k[2] for k in out]}
+
+    seen = arrow_pass(rows.join(by_host, "host"), run, "host string, token long, content long")
+    return seen.distinct().groupBy("host", "token").count().where(F.col("count") >= LEAST_PAGES).select("host", "token")
+
+
 def main_text(page: str | None, template: set[int]) -> str:
     """The text of the slots that hold main text."""
-    blocks, _ = parsed(page)
-    anchored = any(b.main and not b.away for b in blocks)
-    out = []
-    for b in blocks:
-        if b.away or anchored and not b.main:
-            continue
-        t = b.text()
-        if not t or not b.main and template and _hash("t", *b.path, t) in template:
-            continue
-        out.append(t)
-    return "\n".join(out)
+    return "\n".join(t for _, t, token in _texts(parsed(page)[0]) if token not in template)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of each row of (page_id, url, html)."""
     rows = pages.select("page_id", "url", F.col("html").alias("html"), host_of(F.col("url")).alias("host"))
     found = stored(templates(rows.select("host", "html")), "template")
-    by_host = found.groupBy("host").agg(F.collect_set("token").alias("template"))  # a template's size is bounded by a page's
-    if found.count() <= SENT_TOKENS:
+    gone = stored(constant(rows.select("host", "html"), found), "constant")
+    by_host = gone.groupBy("host").agg(F.collect_set("token").alias("template"))
+    if gone.count() <= SENT_TOKENS:
         by_host = F.broadcast(by_host)
 
     def run(part: dict[str, list]) -> dict[str, list]:

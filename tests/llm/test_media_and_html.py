@@ -91,3 +91,16 @@ def test_template(spark):
     classes = H.nested(H.templates(pages.select(H.host_of(pages.url).alias("host"), "html"))).collect()
     assert {r["host"] for r in classes} == {"host.example"} and {r["level"] for r in classes} == {1}
     assert H.extract(pages.where("false")).count() == 0
+
+
+def texts_of(spark, pages):
+    rows = [(k, "https://host.example/", p) for k, p in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_notice_inside_article_goes(spark):
+    def page(k):
+        return f"<html><body><article><h1>Title {k}</h1><p>Story {k} begins with many words</p><p>Join our club today</p><p>It ends like number {k} did</p></article></body></html>"
+
+    got = texts_of(spark, [page(k) for k in range(6)])
+    assert got == {k: f"Title {k}\nStory {k} begins with many words\nIt ends like number {k} did" for k in range(6)}
