@@ -104,3 +104,15 @@ def test_notice_inside_article_goes(spark):
 
     got = texts_of(spark, [page(k) for k in range(6)])
     assert got == {k: f"Title {k}\nStory {k} begins with many words\nIt ends like number {k} did" for k in range(6)}
+
+
+def test_copied_story_stays(spark):
+    def page(k, story, tag):
+        return f"<html><body><div class='top'>Welcome all</div><{tag} class='story'><h1>About {story}</h1><p>Story {story} is told here in full</p><p>And {story} ends well after all</p></{tag}><p class='date'>May {k}</p></body></html>"
+
+    for tag in ("div", "article"):
+        for stories in (["a", "a", "a", "b", "c", "d"], ["a"] * 8 + ["b", "c"]):
+            got = texts_of(spark, [page(k, s, tag) for k, s in enumerate(stories)])
+            for k, s in enumerate(stories):
+                want = f"About {s}\nStory {s} is told here in full\nAnd {s} ends well after all"
+                assert got[k] == (want if tag == "article" else f"{want}\nMay {k}"), (tag, k)
