@@ -1,8 +1,8 @@
 """Mixing sources to target weights (operator 5).
 
-Method: Sainte-Lague apportionment. Sources are dealt into shards by a hash of the id; the mix is cut into blocks of
-equally many words, blocks go to sources, and a source's blocks to its shards, by highest quotients. A shard lays its
-documents on a ring in seeded order and takes its quota of consecutive blocks from a seeded place on; where the quota goes
+Method: Sainte-Lague apportionment. Sources are dealt into shards by a hash of the id; the mix's words go
+to sources, and a source's words to its shards, by highest quotients. A shard lays its
+documents on a ring in seeded order and takes its quota of consecutive words from a seeded place on; where the quota goes
 once around, documents are taken twice. So a shard takes its quota to the word, and all but two of its documents whole.
 
 The driver sees one row for each source and one for each shard (``SHARDS`` and one more for each source at most). Equal
@@ -24,8 +24,6 @@ from pyspark.sql import functions as F
 from amplicore.llm._common import stored, table
 
 SEED, SHARDS = 5, 8192
-#: Blocks that all documents' words make, about; blocks are only counted, so their number costs nothing.
-BLOCKS = 200_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -89,8 +87,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     sources = sorted(((r["source"], r["n"]) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     total = sum(n for _, n in sources)
     aims = targets([n for _, n in sources], [weights[i % len(weights)] for i in range(len(sources))], share * total, most)
-    block = max(1, total // BLOCKS)
-    quota = apportioned(aims, round(sum(aims) / block))
+    quota = apportioned(aims, round(sum(aims)))
     rows = [("n" if s is None else "s" + s, i, max(1, -(-n * SHARDS // max(total, 1))), n, aims[i]) for i, (s, n) in enumerate(sources)]
     of = spark.createDataFrame(rows, "key string, sid int, shards int, source_size long, target double")
     # the hash of the id and size places a row; equal rows lie beside each other, whichever comes first
@@ -105,7 +102,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
         at = end
     rings = []
     for (sid, shard, n), q in taken:
-        words = min(q * block, most * n)
+        words = min(q, most * n)
         laps = words // n if n else 0
         rings.append((sid, shard, n, laps, words - laps * n, random.Random(f"{SEED}/{sid}/{shard}").randrange(max(n, 1))))
     ring = spark.createDataFrame(rings, "sid int, shard int, ring long, laps long, rest long, start long")

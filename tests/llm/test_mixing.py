@@ -42,3 +42,10 @@ def test_mix(spark, awkward):
         assert abs(sum(r["taken"] for r in by[s]) - aim) <= 2 + 0.01 * aim
     assert sorted(map(str, X.mix(df.repartition(5)).collect())) == sorted(map(str, got))
     assert X.mix(df.where("false")).count() == 0
+
+
+def test_small_sources_of_a_large_table(spark):
+    large = spark.range(40).selectExpr("id AS doc_id", "repeat('w ', 100000) AS text", "'a' AS source")
+    small = spark.createDataFrame([(100, "v v v v", "b"), (101, "u u", "c")], "doc_id long, text string, source string")
+    got = {r["source"]: (r["target"], r["taken"]) for r in X.mix(large.union(small)).where("source <> 'a'").collect()}
+    assert got == {"b": (8.0, 8), "c": (4.0, 4)}
