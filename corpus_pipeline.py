@@ -6,7 +6,7 @@ None; tests hold the stages against brute-force versions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from amplicore.llm import minhash_near, mixing, ppm_language, rff_quality, sentencepiece_bpe
@@ -34,20 +34,40 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class; one row of an id that has several."""
-    classes = stored(minhash_near.near_classes(docs), "classes")
-    gone = stored(classes.where(~F.col("kept")).select(F.col("doc").alias("doc_id")).distinct(), "gone")
-    kept = joined_by_id(docs, gone, "doc_id", "left_anti")
-    twice = stored(classes.where("kept and doc is not null").groupBy(F.col("doc").alias("doc_id")).count().where("count > 1").select("doc_id"), "twice")
-    if twice.isEmpty():
-        return kept
-    return joined_by_id(kept, twice, "doc_id", "left_anti").union(joined_by_id(kept, twice, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    """Keeps the document with the smallest id of each class; one row of an id and text that has several.
+
+    Different texts under one id are documents of their own, which come after all others in their classes. Rows with a null
+    id stay.
+    """
+    ids = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("h")).distinct()
+    several = stored(ids.groupBy("doc_id").count().where("count > 1").select("doc_id", F.lit(True).alias("__several")), "several")
+    keyed = docs.withColumn("__key", F.col("doc_id"))
+    if not several.isEmpty():
+        own = F.xxhash64("doc_id", "text").bitwiseAND(F.lit(2**62 - 1)) + F.lit(2**62)
+        keyed = joined_by_id(docs, several, "doc_id", "left").withColumn("__key", F.when(F.col("__several"), own).otherwise(F.col("doc_id")))
+    classes = stored(minhash_near.near_classes(keyed, id_col="__key"), "classes")
+    gone = stored(classes.where(~F.col("kept")).select(F.col("doc").alias("__key")).distinct(), "gone")
+    kept = joined_by_id(keyed, gone, "__key", "left_anti")
+    twice = stored(classes.where("kept and doc is not null").groupBy(F.col("doc").alias("__key")).count().where("count > 1").select("__key"), "twice")
+    if not twice.isEmpty():
+        kept = joined_by_id(kept, twice, "__key", "left_anti").unionByName(joined_by_id(kept, twice, "__key", "left_semi").dropDuplicates(["__key"]))
+    return kept.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes half of them or more: not at all, once or twice."""
-    copies = stored(mixing.mix(docs).where("copies > 0").select("doc_id", F.expr("explode(array_repeat(1, copies))").alias("copy")).drop("copy"), "copies")
-    return joined_by_id(docs, copies, "doc_id", "inner").select(*docs.columns)
+    """Rows as often as the mix takes half of them or more: not at all, once or twice. Ids may be null or repeated: rows are
+    told apart by id, text and source, and rows equal in these share their copies evenly."""
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", F.lit(0), "text", F.lit(0), "source"))
+    counted = mixing.mix(keyed, id_col="__key").groupBy(F.col("doc_id").alias("__key")).agg(F.count("*").alias("__rows"), F.sum("copies").alias("__copies"))
+    counted = stored(counted.where("__copies > 0"), "copies")
+    once = counted.where("__rows = 1").select("__key", F.expr("explode(array_repeat(1, int(__copies)))").alias("copy")).drop("copy")
+    out = joined_by_id(keyed, once, "__key", "inner").select(*docs.columns)
+    equal = counted.where("__rows > 1")
+    if equal.isEmpty():
+        return out
+    numbered = joined_by_id(keyed, equal, "__key", "inner").withColumn("__row", F.row_number().over(Window.partitionBy("__key").orderBy("__key")))
+    times = F.expr("explode(array_repeat(1, int(__copies div __rows) + int(__row <= __copies % __rows)))")
+    return out.union(numbered.select(*docs.columns, times.alias("__copy")).select(*docs.columns))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,16 @@ def test_catalog():
     names = list(catalog.QUERIES)
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
     assert set(catalog.ORACLE_SQL) <= set(names)
+
+
+def test_null_and_repeated_ids(spark):
+    one, two = "one text of more than five words here", "another text that has nothing in common with it"
+    docs = spark.createDataFrame([(1, one, "s"), (2, one, "s"), (2, two, "s"), (2, two, "s"), (None, one, "s"), (3, two, "s")], "doc_id long, text string, source string")
+    kept = P.near_dedup(spark, docs, "")
+    assert sorted(map(tuple, kept.collect()), key=str) == [(1, one, "s"), (3, two, "s"), (None, one, "s")]
+    assert sorted(map(tuple, P.near_dedup(spark, docs.where("doc_id < 3"), "").collect())) == [(1, one, "s"), (2, two, "s")]
+    rows = [(None, f"null id number {k} with words", "s") for k in range(3)] + [(5, one, "s"), (5, two, "s"), (None, "equal rows", None), (None, "equal rows", None), (6, "equal rows", "s")]
+    mixed = P.mix_sources(spark, spark.createDataFrame(rows, docs.schema), "").collect()
+    for r in set(rows):
+        n = rows.count(r)
+        assert n <= sum(tuple(m) == r for m in mixed) <= 2 * n, r
