@@ -48,6 +48,27 @@ def test_query_digests(spark, tmp_path):
 
 def test_native(spark):
     df = spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string")
-    plan = C.read_back(C.windows(df))._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow")) and plan.count("Exchange hashpartitioning") == 1
+    out = C.read_back(C.windows(df))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 1  # turns are shuffled once
     assert spark.range(1).select(C.unescaped(C.escaped(F.lit("\\h \\\\t ###</turn>")))).first()[0] == "\\h \\\\t ###</turn>"
+
+
+def test_long_conversation(spark):
+    n = 20_000
+    df = spark.range(n).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "system").when(F.col("id") % 2 == 0, "assistant").otherwise("user").alias("role"), F.expr("repeat('w ', int(20 + id * 37 % 60))").alias("text"))
+    got = sorted((r["first"], r["n_new"], r["n_repeated"], r["tokens"]) for r in C.windows(df.repartition(7)).select("first", "n_new", "n_repeated", "tokens").collect())
+    tok = [20 + i * 37 % 60 + 4 for i in range(n)]
+    room, used, firsts = 256 - 64 - tok[0], 0, [0]
+    for i in range(1, n):
+        if used and used + tok[i] > room:
+            firsts.append(i)
+            used = 0
+        used += tok[i]
+    want = []
+    for a, b in zip(firsts, firsts[1:] + [n], strict=True):
+        past = [k for k in range(1, 5) if a - k > 0 and sum(tok[a - k : a]) <= 64]
+        want.append((a, b - a, len(past) + 1 if a else 0, sum(tok[a:b]) + (tok[0] + sum(tok[a - k] for k in past) if a else 0)))
+    assert got == want
