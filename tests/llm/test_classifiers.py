@@ -71,3 +71,27 @@ def test_toxicity_rows(spark, awkward):
     got = {r["doc_id"]: r["score"] for r in Z.score(docs, model, [F.col("doc_id")]).collect()}
     assert len(got) == len(texts) and got[126] == got[127]
     assert np.mean([got[i] for i in range(0, 120, 3)]) > np.mean([got[i] for i in range(1, 120, 3)]) + 0.3
+
+
+def test_toxicity_by_definition(spark):
+    """The query's model and scores from the definition: fits in this process, windows compressed one by one."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(5)
+    texts = [good(rng, rng.randrange(5, 90)) + (" wretchy foulmop" if i % 4 == 0 else "") for i in range(160)] + ["", None]
+    docs = spark.createDataFrame([(i, t, "x", 7.0) for i, t in enumerate(texts)], "doc_id long, text string, gain string, score double")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
+    model = Z.train(docs, labels, "toxic")
+    folds = {r["doc_id"]: r["f"] for r in docs.select("doc_id", Z.unit_hash(F.col("doc_id"), Z.SEED + 1).alias("f")).collect()}
+    rows = sorted((folds[i], i, texts[i], int(i % 4 == 0)) for i in range(160))
+    want = Z.fit([(t, y, f) for f, _, t, y in rows])
+    assert (model.toxic, model.ordinary, model.level) == (want.toxic, want.ordinary, want.level)
+    assert np.array_equal(model.knots, want.knots) and np.array_equal(model.values, want.values)
+    one = lambda d, w: len(Z.Model(d, d)._compress()[0](Z.LEAD + w))
+    got = {r["doc_id"]: r["score"] for r in Z.score(docs, model, [F.col("doc_id")]).collect()}
+    for i in (0, 1, 4, 7, 160, 161):
+        gain = sum(max(0, one(model.ordinary, w) - one(model.toxic, w) - model.level) for w in Z.windows(Z.plain(texts[i])))
+        assert got[i] == np.clip(np.interp(gain, model.knots, model.values), 0, 1)
+    empty = docs.where("false")
+    assert Z.score(empty, model, [F.col("doc_id")]).count() == 0 and Z.train(empty, labels, "toxic") == 0.5
+    assert isinstance(Z.train(docs, labels, "toxic", max_bytes=3000), (Z.Model, float))
