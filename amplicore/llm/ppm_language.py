@@ -1,7 +1,7 @@
 """Language identification (operator 1).
 
 Method: prediction by partial matching. For each language the counts of bytes after each context of up to three bytes form
-a context tree; escape probabilities (method C, with exclusion of what a longer context has seen) blend the orders. The
+a context tree, of all contexts that were seen; escape probabilities (method C, with exclusion of what a longer context has seen) blend the orders. The
 counts are frozen after training, so the code length of a byte after its context is a number known beforehand; a text's
 code length under each language is a sum of table entries, and the language with the shortest code wins.
 
@@ -23,18 +23,27 @@ from pyspark.sql import functions as F
 
 from amplicore.llm._common import arrow_pass, built, crc_mod, table, unit_hash
 
-#: Before a text's first byte, as if lines had ended there.
-PAD = b"\n\n\n"
+#: Bytes of the longest contexts. Before a text's first byte, as if lines had ended there: PAD.
+ORDER = 3
+PAD = b"\n" * ORDER
+#: Texts are scored together up to so many characters; bounds a worker's memory.
+PART = 2_000_000
 #: Bits of evidence count in full up to so many bytes of text; beyond, as their mean.
 EVIDENCE = 128
 SEED = 11
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all texts, each after PAD, and where each text begins."""
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The gram (three bytes of context and one more, as a number) of each byte of all texts, and where each text begins."""
     raw = [PAD + t.encode("utf-8", "surrogatepass") for t in texts]
     starts = np.cumsum([0, *map(len, raw)])
-    return np.frombuffer(b"".join(raw), np.uint8), starts
+    x = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint32)
+    at = np.ones(len(x), bool)
+    at[(starts[:-1, None] + np.arange(ORDER)).ravel()] = False
+    grams = x.copy()
+    for k in range(1, ORDER + 1):
+        grams[k:] |= x[:-k] << np.uint32(8 * k)
+    return grams[at].astype(np.int64), starts - ORDER * np.arange(len(starts))
 
 
 def count_grams(rows: DataFrame) -> DataFrame:
@@ -46,12 +55,7 @@ def count_grams(rows: DataFrame) -> DataFrame:
         for lang, text in zip(part["lang"], part["text"], strict=True):
             by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
-            x, starts = _codes(texts)
-            x = x.astype(np.int64)
-            at = np.ones(len(x), bool)
-            at[(starts[:-1, None] + np.arange(len(PAD))).ravel()] = False
-            i = np.flatnonzero(at)
-            grams, n = np.unique(((x[i - 3] << 8 | x[i - 2]) << 8 | x[i - 1]) << 8 | x[i], return_counts=True)
+            grams, n = np.unique(_grams(texts)[0], return_counts=True)
             out["lang"] += [lang] * len(grams)
             out["gram"] += grams.tolist()
             out["n"] += n.tolist()
@@ -60,91 +64,113 @@ def count_grams(rows: DataFrame) -> DataFrame:
     return arrow_pass(rows, run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+class Tree:
+    """One language's context tree as sorted tables: by order, the grams (context and byte) with their counts, and the contexts
+    with what they hold and what they leave to the next shorter one.
+
+    What a context has seen, its suffix has seen too. So exclusion leaves the suffix its total less the counts there of the
+    longer context's bytes, whatever byte comes: two numbers a context tell all code lengths, and nothing is dense."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray) -> None:
+        self.grams: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.contexts: list[np.ndarray] = []
+        self.whole: list[np.ndarray] = []
+        self.kinds: list[np.ndarray] = []
+        self.left: list[np.ndarray] = []  # of the suffix's total, after exclusion
+        self.left_kinds: list[np.ndarray] = []
+        for k in range(ORDER + 1):
+            key, at = np.unique(grams & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            n = np.bincount(at, counts, len(key))
+            contexts, of = np.unique(key >> 8, return_inverse=True)
+            whole, kinds = np.bincount(of, n), np.bincount(of).astype(float)
+            if k:
+                shorter = key & ((1 << 8 * k) - 1)
+                spent = np.bincount(of, self.counts[k - 1][np.searchsorted(self.grams[k - 1], shorter)])
+                suffix = np.searchsorted(self.contexts[k - 1], contexts & ((1 << 8 * (k - 1)) - 1))
+                self.left.append(self.whole[k - 1][suffix] - spent)
+                self.left_kinds.append(self.kinds[k - 1][suffix] - kinds)
+            else:
+                self.left.append(np.zeros(len(contexts)))
+                self.left_kinds.append(np.zeros(len(contexts)))
+            for to, what in ((self.grams, key), (self.counts, n), (self.contexts, contexts), (self.whole, whole), (self.kinds, kinds)):
+                to.append(what)
+
+    def cost(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each gram after its others."""
+        out, spent = np.zeros(len(grams)), np.zeros(len(grams))
+        todo = np.ones(len(grams), bool)
+        above = np.full(len(grams), -1)  # the longer context, if there is one
+        for k in range(ORDER, -1, -1):
+            context, own = _place(self.contexts[k], grams >> 8 & ((1 << 8 * k) - 1))
+            whole, kinds = np.where(own, self.whole[k][context], 0), np.where(own, self.kinds[k][context], 0)
+            if k < ORDER:
+                whole = np.where(above >= 0, self.left[k + 1][above], whole)
+                kinds = np.where(above >= 0, self.left_kinds[k + 1][above], kinds)
+            at, seen = _place(self.grams[k], grams & ((1 << 8 * (k + 1)) - 1))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                here = todo & seen
+                out[here] = (spent - np.log2(self.counts[k][at] / (whole + kinds)))[here]
+                todo &= ~seen
+                spent = spent + np.where(todo & (kinds > 0), -np.log2(kinds / (whole + kinds)), 0)
+            above = np.where(own, context, -1)
+        out[todo] = spent[todo] + np.log2(max(1, 256 - len(self.grams[0])))
+        return out
+
+    def size(self) -> int:
+        return sum(x.nbytes for table_ in vars(self).values() for x in table_)
+
+
+def _place(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted key stands, and whether it does."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 class Model:
-    """langs; symbol: class of each byte; node: of three classes, the deepest context kept; cost: bits by lang, node, class."""
+    """langs, and the tree of each. Its size is the sum of the trees': with about 1,000 texts of 2.5 kB each, 0.5 to 1 MB a
+    language (see ``size``), so 50 to 100 MB for 100 languages (measured: 2.1 MB for the four of the test tables)."""
 
-    def __init__(self, langs: list[str], symbol: np.ndarray, node: np.ndarray, cost: np.ndarray) -> None:
-        self.langs, self.symbol, self.node, self.cost = langs, symbol, node, cost
+    def __init__(self, langs: list[str], trees: list[Tree]) -> None:
+        self.langs, self.trees = langs, trees
 
     def bits(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Code length of each text under each language, and its bytes."""
-        raw, starts = _codes(texts)
-        n = np.diff(starts) - len(PAD)
-        total = np.zeros((len(texts), len(self.langs)))
-        x = self.symbol[raw].astype(np.int32)
-        a = np.int32(self.cost.shape[2])
-        node = self.node[(x[:-3] * a + x[1:-2]) * a + x[2:-1]]  # of the byte three further on
-        at = node * a + x[3:]
-        ends = starts[1:-1, None] - 3 + np.arange(3)  # contexts that reach over a text's end predict padding
-        ends = ends[ends < len(at)]
-        first = np.minimum(starts[:-1], max(len(at) - 1, 0))
-        for k in range(len(self.langs)):
-            cost = self.cost[k].ravel()[at].astype(np.float64)
-            cost[ends] = 0
-            if len(cost):
-                total[:, k] = np.where(n > 0, np.add.reduceat(cost, first), 0)
+        """Code length of each text under each language, and its bytes. Each distinct gram is looked up once."""
+        total, n = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts), np.int64)
+        at = 0
+        while at < len(texts):
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= PART:
+                size += len(texts[end])
+                end += 1
+            grams, starts = _grams(texts[at:end])
+            n[at:end] = np.diff(starts)
+            kinds, of = np.unique(grams, return_inverse=True)
+            some = np.flatnonzero(n[at:end])
+            for k, tree in enumerate(self.trees):
+                if len(some):
+                    total[at + some, k] = np.add.reduceat(tree.cost(kinds)[of], starts[:-1][some])
+            at = end
         return total, n
 
+    def size(self) -> int:
+        return sum(t.size() for t in self.trees)
 
-def build(grams: dict[str, tuple[np.ndarray, np.ndarray]], max_contexts: int) -> Model:
-    """The tables of counted grams by language. max_contexts: of three bytes, the most frequent are kept; it bounds the model."""
+
+def build(grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
+    """The trees of counted grams by language: all contexts that were seen."""
     langs = sorted(grams)
-    seen = np.zeros(256, bool)
-    for g, _ in grams.values():
-        for shift in (0, 8, 16, 24):
-            seen[np.unique(g >> shift & 255)] = True
-    seen[PAD[0]] = True
-    symbol = np.where(seen, np.cumsum(seen), 0).astype(np.uint8 if seen.sum() < 256 else np.int16)  # 0: bytes never seen
-    a = int(seen.sum()) + 1
-    unseen = 256 - int(seen.sum())
-    tables = {}
-    context = np.zeros(a**3, np.int64)
-    for lang, (g, n) in grams.items():
-        s = [symbol[g >> shift & 255].astype(np.int64) for shift in (24, 16, 8, 0)]
-        c = (s[0] * a + s[1]) * a + s[2]
-        np.add.at(context, c, n)
-        tables[lang] = (c, s[3], n)
-    deep = np.flatnonzero(context > 1)
-    if len(deep) > max_contexts:
-        deep = np.sort(deep[np.lexsort((deep, -context[deep]))[:max_contexts]])
-    # nodes: every context of no, one and two classes that any language has, then the deep ones
-    two, one = np.unique(np.flatnonzero(context) % (a * a)), np.unique(np.flatnonzero(context) % a)
-    size = 1 + len(one) + len(two) + len(deep)
-    node = np.zeros((a, a, a), np.int32)
-    node[:, :, one] = 1 + np.arange(len(one))
-    node[:, two // a, two % a] = 1 + len(one) + np.arange(len(two))
-    node.ravel()[deep] = 1 + len(one) + len(two) + np.arange(len(deep))
-    suffix = [np.r_[np.zeros(1, int), one, two, deep], np.r_[1, np.full(len(one), a), np.full(len(two), a * a), np.full(len(deep), a**3)]]
-    cost = np.zeros((len(langs), size, a), np.float32)
-    room = np.ones(a)
-    room[0] = unseen
-    for k, lang in enumerate(langs):
-        c, s, n = tables[lang]
-        levels = []
-        for length in (a**3, a * a, a, 1):
-            keys, row = np.unique(c % length, return_inverse=True)
-            t = np.zeros((len(keys) + 1, a), np.float32)  # the last row: a context this language hasn't
-            np.add.at(t, (row, s), n)
-            levels.append((length, keys, t))
-        for begin in range(0, size, 4096):
-            key, reach = suffix[0][begin : begin + 4096], suffix[1][begin : begin + 4096]
-            got, spent, gone = np.zeros((len(key), a)), np.zeros((len(key), 1)), np.zeros((len(key), a), bool)
-            for length, keys, t in levels:
-                at = np.searchsorted(keys, key % length)
-                at = np.where((reach >= length) & (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == key % length), at, len(keys))
-                count = np.where(gone, 0, t[at])
-                here = count > 0
-                whole, kinds = count.sum(1, keepdims=True), here.sum(1, keepdims=True)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    got = np.where(here, spent - np.log2(count / (whole + kinds)), got)
-                    spent = spent + np.where(kinds > 0, -np.log2(kinds / (whole + kinds)), 0)
-                gone |= here
-            left = (~gone * room).sum(1, keepdims=True)
-            cost[k, begin : begin + 4096] = np.where(gone, got, spent + np.log2(np.maximum(left, 1)))
-    return Model(langs, symbol, node.ravel(), cost)
-
-
-def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1000, max_contexts: int = 12_000) -> Model | None:
+    return Model(langs, [Tree(grams[lang][0].astype(np.int64), grams[lang][1].astype(float)) for lang in langs])
+
+
+def _received(langs: list[str], tables: list[dict]) -> Model:
+    trees = [Tree.__new__(Tree) for _ in tables]
+    for tree, t in zip(trees, tables, strict=True):
+        vars(tree).update(t)
+    return Model(langs, trees)
+
+
+def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 1000) -> Model | None:
     """A model of rows with text and lang, from about per_language rows of each language; None if there are none."""
     rows = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     share = {r[0]: per_language / r[1] for r in rows.groupBy(lang_col).count().collect()}
@@ -154,7 +180,7 @@ def train(rows: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     sample = rows.where(unit_hash(F.col(id_col), SEED) < part).select(F.col(lang_col).alias("lang"), F.lower(text_col).alias("text"))
     got = count_grams(sample).toPandas()
     grams = {lang: (g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.int64)) for lang, g in got.groupby("lang")}
-    return build(grams, max_contexts) if grams else None
+    return build(grams) if grams else None
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", carry: list[Column] | None = None, prefix: str = "") -> DataFrame:
@@ -166,12 +192,12 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     if model is None:
         none = docs.select(*cols, F.lit("und").alias(f"{prefix}lang_pred"), F.lit(0.0).alias(f"{prefix}score"), F.lit(None).cast("double").alias(f"{prefix}bits_per_byte"))
         return none.withColumnRenamed("__id", id_col)
-    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
+    sent = docs.sparkSession.sparkContext.broadcast((model.langs, [vars(t) for t in model.trees]))
     key = uuid.uuid4().hex
     rows = docs.select(*cols, F.when(letters, F.lower(text)).alias("__text"))
 
     def run(part: dict[str, list]) -> dict[str, list]:
-        m: Model = built(key, lambda: Model(**sent.value))  # type: ignore[assignment]
+        m: Model = built(key, lambda: _received(*sent.value))  # type: ignore[assignment]
         texts = part.pop("__text")
         some = [i for i, t in enumerate(texts) if t]
         pred, score, per = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts)

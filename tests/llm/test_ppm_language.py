@@ -19,7 +19,7 @@ TRAIN = {"aa": "the cat sat on the mat and the hat the the cat", "bb": "der hund
 
 def test_against_the_definition():
     g, n = grams(TRAIN["aa"])
-    m = P.build({"aa": (np.r_[g, g], np.r_[n, n])}, 10_000)  # counts of 2 keep every context
+    m = P.build({"aa": (np.r_[g, g], np.r_[n, n])})
 
     def slow(text):  # the same with doubled counts
         t, x, total = P.PAD + TRAIN["aa"].encode(), P.PAD + text.encode(), 0.0
@@ -48,10 +48,23 @@ def test_against_the_definition():
 
 
 def test_code_lengths_are_probabilities():
-    m = P.build({k: grams(v) for k, v in TRAIN.items()}, 10_000)
-    room = np.ones(m.cost.shape[2])
-    room[0] = 256 - (m.cost.shape[2] - 1)
-    assert np.allclose((np.exp2(-m.cost.astype(float)) * room).sum(2), 1, atol=1e-3)
+    m = P.build({k: grams(v) for k, v in TRAIN.items()})
+    for tree in m.trees:
+        for context in (b"the", b" ca", b"xhe", b"xye", b"xyz", b"\n\n\n", b"der", bytes(3)):
+            c = int.from_bytes(context, "big") << 8
+            assert abs(np.exp2(-tree.cost(np.arange(256) + c)).sum() - 1) < 1e-9, context
+
+
+def test_parts_and_size(monkeypatch):
+    rng = np.random.default_rng(1)
+    many = {f"l{k:02}": grams("".join(chr(0x400 + 60 * k + int(i)) for i in rng.integers(0, 60, 3000))) for k in range(40)}
+    m = P.build(many)
+    assert sum(len(t.contexts[P.ORDER]) for t in m.trees) == sum(len({int(g) >> 8 for g in v[0]}) for v in many.values())  # no context is left out
+    assert m.size() < 60 * sum(len(v[0]) for v in many.values()) * (P.ORDER + 1)
+    texts = ["the cat " * k for k in range(30)]
+    whole = m.bits(texts)
+    monkeypatch.setattr(P, "PART", 50)
+    assert np.allclose(whole[0], m.bits(texts)[0]) and (whole[1] == [len(t) for t in texts]).all()
 
 
 def test_rows(spark, awkward):
