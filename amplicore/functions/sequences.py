@@ -41,7 +41,8 @@ def quality_offset(quality: Column) -> Column:
 
 def mismatches(a: Column, b: Column) -> Column:
     """Places in which two texts differ, over the length of the second; missing letters differ."""
-    return F.aggregate(F.sequence(F.lit(1), F.length(b)), F.lit(0), lambda n, i: n + (F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1))).cast("int"))
+    differ = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1))), F.lit(0), lambda n, i: n + (F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1))).cast("int"))
+    return F.when(F.length(b) == 0, 0).otherwise(differ)
 
 
 def primer_pattern(primer: str) -> str:

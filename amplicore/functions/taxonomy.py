@@ -35,7 +35,7 @@ def consensus(lineages: Column) -> Column:
 
 def ancestors(lineage: Column) -> Column:
     """The lineage and all that lead to it, shortest first."""
-    return F.transform(F.sequence(F.lit(1), F.size(lineage)), lambda i: F.slice(lineage, F.lit(1), i))
+    return F.when(F.size(lineage) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(lineage), F.lit(1))), lambda i: F.slice(lineage, F.lit(1), i))).otherwise(F.slice(F.array(lineage), 1, 0))
 
 
 def uniform(values: Column, otherwise: str) -> Column:
@@ -66,11 +66,14 @@ def inferred(text: Column) -> Column:
 
 
 def cleaned_species(name: Column) -> Column:
-    """A species name without strain tails; uncultured and undefined ones are unknown."""
-    low = F.lower(name)
-    undefined = low.rlike(r"uncultured|unidentified|undefined|metagenome|unculturable|uncultivated|unclassified|\bbacterium\b")
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(name, r" sp\..*$", ""), r" subsp\..*$", ""), r" DSMZ? \d+.*$", "")
-    return F.when(undefined, F.lit("unknown species")).otherwise(F.trim(bare))
+    """A species name without strain: what stands behind `Genus sp.` or before ` subsp.` of two words, or before a final DSM number.
+
+    Names that begin with uncultured, and the whole names undefined, unidentified and incertae sedis, are unknown."""
+    undefined = name.startswith("uncultured") | F.lower(name).isin("undefined", "unidentified", "incertae sedis")
+    out = F.when(undefined, F.lit("unknown species"))
+    for pattern in (r"^(\S+ sp\.).+", r"^(\S+ \S+) subsp\.", r"^(.+) DSMY? \d+$"):
+        out = out.when(name.rlike(pattern), F.regexp_extract(name, pattern, 1))
+    return out.otherwise(name)
 
 
 def completed(lineage: Column, ranks: list[str]) -> Column:
@@ -89,13 +92,13 @@ def unaccented(text: Column) -> Column:
     return F.regexp_replace(F.translate(text, _ACCENTS, _PLAIN), r"[^\x00-\x7F]", "")
 
 
+#: Where the pages of ids stand, by what an id holds; the first that fits counts.
+LINKS = [("COG", "https://www.ncbi.nlm.nih.gov/research/cog/cog/"), ("PF", "https://pfam.xfam.org/family/"), ("TIGR", "https://0-www-ncbi-nlm-nih-gov.linyanti.ub.bw/genome/annotation_prok/evidence/"), ("K[0-9]{5}|EC:", "https://www.genome.jp/dbget-bin/www_bget?")]
+
+
 def link(name: Column) -> Column:
-    """A database link by the form of an id."""
-    return (
-        F.when(name.startswith("COG"), F.concat(F.lit("https://www.ncbi.nlm.nih.gov/research/cog/cog/"), name))
-        .when(name.startswith("PF"), F.concat(F.lit("https://www.ebi.ac.uk/interpro/entry/pfam/"), name))
-        .when(name.startswith("TIGR"), F.concat(F.lit("https://www.ncbi.nlm.nih.gov/genome/annotation_prok/evidence/"), name))
-        .when(name.rlike("^K[0-9]{5}$"), F.concat(F.lit("https://www.genome.jp/entry/"), name))
-        .when(name.startswith("EC:"), F.concat(F.lit("https://enzyme.expasy.org/EC/"), F.substr(name, F.lit(4))))
-        .otherwise(F.lit("no link"))
-    )
+    """A database link by what an id holds anywhere."""
+    out = F.when(F.lit(False), F.lit(""))
+    for held, url in LINKS:
+        out = out.when(name.rlike(held), F.concat(F.lit(url), name))
+    return out.otherwise(F.lit("no link"))

@@ -115,9 +115,11 @@ def differential(stats: DataFrame, taxonomy: DataFrame, most: float) -> DataFram
 
 
 def map_style(log2fc: Column, padj: Column) -> tuple[Column, Column]:
-    """Colour by the change's size and sign, width by its certainty, for pathway maps."""
-    colour = F.when(log2fc >= 2, "#b40426").when(log2fc >= 1, "#ee8468").when(log2fc <= -2, "#3b4cc0").when(log2fc <= -1, "#8db0fe").otherwise("#dddddd")
-    width = F.when(padj < 0.001, "W15").when(padj < 0.01, "W12").otherwise("W9")
+    """Colour by the change's size and sign (fixed values; null without change), width by its certainty, for pathway maps."""
+    over = F.when(log2fc < 1, "#DE894E").when(log2fc < 2, "#B26E3E").otherwise("#9B6037")
+    under = F.when(log2fc > -1, "#B0C6C5").when(log2fc > -2, "#8EADAC").otherwise("#637978")
+    colour = F.when(log2fc > 0, over).when(log2fc < 0, under)
+    width = F.when(padj < 0.001, "W11").when(padj < 0.01, "W10").otherwise("W9")
     return colour, width
 
 

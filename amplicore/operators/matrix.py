@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Depths of a histogram that one row expands to.
+DEPTHS = 1 << 16
+
+
 def totals(ab: DataFrame) -> DataFrame:
     """axis, key, total: by observation, by sample, and the grand total, in one pass over the matrix."""
     sets = ab.groupingSets([["obs_id"], ["sample_id"], []], "obs_id", "sample_id").agg(F.sum("count").alias("total"), F.grouping_id().alias("g"))
@@ -18,10 +22,13 @@ def totals(ab: DataFrame) -> DataFrame:
 
 
 def depth_histogram(ab: DataFrame) -> DataFrame:
-    """depth, nb_observ, pct: how many observations have each total from 1 to the largest, empty depths too; the share has three places."""
+    """depth, nb_observ, pct: how many observations have each total from 1 to the largest, empty depths too; the share has three places.
+
+    The depths are made block by block, each in its own row, however deep the largest is."""
     counts = ab.groupBy("obs_id").agg(F.sum("count").alias("depth")).where("depth > 0").groupBy("depth").agg(F.count("*").alias("n"))
     whole = counts.agg(F.max("depth").alias("most"), F.sum("n").alias("all"))
-    depths = whole.where("most is not null").select(F.explode(F.sequence(F.lit(1).cast("long"), "most")).alias("depth"), "all")
+    blocks = whole.where("most is not null").select(F.explode(F.sequence(F.lit(1).cast("long"), "most", F.lit(DEPTHS).cast("long"))).alias("from"), "most", "all")
+    depths = blocks.repartition("from").select(F.explode(F.sequence("from", F.least("most", F.col("from") + DEPTHS - 1))).alias("depth"), "all")
     out = depths.join(counts, "depth", "left").withColumn("nb_observ", F.coalesce("n", F.lit(0)))
     return out.select("depth", "nb_observ", F.round(100 * F.col("nb_observ") / F.col("all"), 3).alias("pct"))
 

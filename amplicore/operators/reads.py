@@ -113,11 +113,14 @@ def demultiplexed(reads: DataFrame, barcodes: DataFrame, most: int, end: bool =
     """reads with barcode: the one with fewest mismatches; ambiguous if two share the fewest, unmatched if they are too many.
 
     barcodes (sample_id, barcode) are a bounded table: a plate has at most a few thousand, which is checked; each read is
-    held against an array of them inside its own row, so reads are neither multiplied nor shuffled.
+    held against an array of them inside its own row, so reads are neither multiplied nor shuffled. Without barcodes, and
+    without a sequence, a read is unmatched.
     """
     rows = barcodes.select("sample_id", "barcode").limit(10_001).collect()
     if len(rows) > 10_000:
         raise ValueError("more than 10000 barcodes")
+    if not rows:
+        return reads.withColumn("barcode", F.lit("unmatched"))
     known = F.array(*[F.struct(F.lit(r["sample_id"]).alias("sample"), F.lit(r["barcode"]).alias("code")) for r in rows])
 
     def held(b: Column) -> Column:
@@ -126,7 +129,7 @@ def demultiplexed(reads: DataFrame, barcodes: DataFrame, most: int, end: bool =
 
     out = reads.withColumn("held", F.array_sort(F.transform(known, held))).withColumn("best", F.get("held", F.lit(0)))
     tied = F.coalesce(F.get("held", F.lit(1))["mm"] == F.col("best.mm"), F.lit(False))
-    name = F.when(F.col("best.mm") > most, "unmatched").when(tied, "ambiguous").otherwise(F.col("best.sample"))
+    name = F.when(F.col("sequence").isNull() | (F.col("best.mm") > most), "unmatched").when(tied, "ambiguous").otherwise(F.col("best.sample"))
     return out.withColumn("barcode", name).drop("held", "best")
 
 

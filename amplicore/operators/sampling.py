@@ -2,7 +2,8 @@
 
 A draw without replacement of n reads from a sample is the n smallest of its reads by a stable hash of (observation,
 sample, place, seed): the same on every run, in any partitioning. Hashes are made for each read, so work is as the number of
-reads; only reads below a bound that surely holds n are sorted.
+reads, but they are only counted, by the first ``DIGITS`` hexadecimal digits; nothing is sorted but the reads of the one
+part of a sample's hashes in which the draw ends (for rarefaction: in which a taxon's first read stands).
 """
 
 from __future__ import annotations
@@ -13,10 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Digits of a hash that say its part: 16 to the power of it are the parts of a sample.
+DIGITS = 4
+#: Reads of a cell that one row expands to.
+READS = 1 << 14
+
+
 def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
-    """obs_id, sample_id, h: a row for each read with its hash."""
+    """obs_id, sample_id, h, part: a row for each read with its hash."""
     key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.col("i").cast("string"), *([F.lit(seed)] if seed else []))
-    return ab.where("count > 0").select("obs_id", "sample_id", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
+    reads = ab.where("count > 0").withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))))
+    reads = reads.repartition("obs_id", "sample_id", "from")  # a large cell's reads are made by many tasks
+    reads = reads.select("obs_id", "sample_id", F.explode(F.sequence("from", F.least("count", F.col("from") + READS - 1))).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
+    return reads.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
+
+
+def _below(reads: DataFrame) -> DataFrame:
+    """sample_id, part, n, below: reads in each part of a sample's hashes, and in those before it."""
+    n = reads.groupBy("sample_id", "part").agg(F.count("*").alias("n"))
+    return n.withColumn("below", F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
 
 
 def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None, drop_small: bool = False, seed: str = "") -> DataFrame:
@@ -34,9 +50,13 @@ def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None,
     sums = sums.withColumn("goal", goal)
     if drop_small:
         sums = sums.where("all >= goal")
-    reads = unit_reads(ab, seed).join(sums, "sample_id")
+    reads = unit_reads(ab, seed)
+    last = _below(reads).join(sums, "sample_id").where("below < goal and below + n >= goal").select("sample_id", F.col("part").alias("last"), (F.col("goal") - F.col("below")).alias("rest"))
+    whole = sums.where("all <= goal").select("sample_id", F.lit("~").alias("last"), F.lit(0).cast("long").alias("rest"))
+    met = reads.join(last.join(whole, "sample_id", "left_anti").union(whole), "sample_id")
     rank = F.row_number().over(Window.partitionBy("sample_id").orderBy("h"))
-    return reads.withColumn("r", rank).where("r <= goal").groupBy("obs_id", "sample_id").agg(F.count("*").alias("count"))
+    end = met.where("part = last").withColumn("r", rank).where("r <= rest")
+    return met.where("part < last").select("obs_id", "sample_id").union(end.select("obs_id", "sample_id")).groupBy("obs_id", "sample_id").agg(F.count("*").alias("count"))
 
 
 def step_size(ab: DataFrame, parts: int = 35) -> int:
@@ -55,9 +75,14 @@ def rarefaction(ab: DataFrame, taxa: DataFrame | None, interval: int, seed: str
     taxa: obs_id, taxon (null: observations themselves). A taxon counts where its first read stands, so steps are a running
     sum over as many rows as there are taxa.
     """
-    reads = unit_reads(ab, seed).withColumn("r", F.row_number().over(Window.partitionBy("sample_id").orderBy("h")))
-    named = reads.withColumn("taxon", F.col("obs_id").cast("string")) if taxa is None else reads.join(taxa, "obs_id")
-    first = named.groupBy("sample_id", "taxon").agg(F.min("r").alias("r"))
+    reads = unit_reads(ab, seed)
+    of = F.col("obs_id").cast("string").alias("taxon")
+    lowest = reads.groupBy("obs_id", "sample_id").agg(F.min("h").alias("h"))
+    lowest = (lowest.select("sample_id", of, "h") if taxa is None else lowest.join(taxa, "obs_id")).groupBy("sample_id", "taxon").agg(F.min("h").alias("h"))
+    lowest = lowest.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
+    here = reads.join(lowest.select("sample_id", "part").distinct(), ["sample_id", "part"], "left_semi").select("sample_id", "part", "h")
+    placed = here.withColumn("at", F.row_number().over(Window.partitionBy("sample_id", "part").orderBy("h"))).join(_below(reads).select("sample_id", "part", "below"), ["sample_id", "part"])
+    first = lowest.join(placed.select("sample_id", "h", (F.col("below") + F.col("at")).alias("r")), ["sample_id", "h"])
     own = first.groupBy("sample_id", F.ceil(F.col("r") / interval).alias("k")).agg(F.count("*").alias("n"))
     sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all"))
     grid = sums.where(F.col("all") >= interval).select("sample_id", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("all") / interval))).alias("k"))

@@ -148,15 +148,21 @@ def alignment_distribution(affs: DataFrame, reads: DataFrame) -> DataFrame:
     return both.groupBy(F.coalesce(first["identity"], F.lit(0.0)).alias("identity"), F.coalesce(first["coverage"], F.lit(0.0)).alias("coverage")).agg(F.count("*").alias("clusters"), F.sum("reads").cast("long").alias("reads"))
 
 
+def _best_of_pairs(aln: DataFrame) -> DataFrame:
+    """query_id, subject and b (identity and coverage) of each pair's best alignment; scores compare as numbers, the first of equals counts."""
+    return aln.groupBy("query_id", "subject").agg(F.max_by(F.struct("identity", "coverage"), F.struct("bitscore", -F.col("ord"))).alias("b"))
+
+
 def heat_map(aln: DataFrame) -> DataFrame:
-    """identity, coverage (whole percents, halves up), n."""
-    return aln.groupBy(F.floor(F.col("identity") + 0.5).alias("identity"), F.floor(F.col("coverage") + 0.5).alias("coverage")).agg(F.count("*").alias("n"))
+    """identity, coverage (whole percents from 0 to 100, halves up), n: the best alignments of queries with subjects; cells without any too."""
+    n = _best_of_pairs(aln).groupBy(F.floor(F.col("b.identity") + 0.5).alias("identity"), F.floor(F.col("b.coverage") + 0.5).alias("coverage")).agg(F.count("*").alias("n"))
+    cell = aln.sparkSession.range(101 * 101).select(F.floor(F.col("id") / 101).alias("identity"), (F.col("id") % 101).alias("coverage"))
+    return cell.join(n, ["identity", "coverage"], "left").select("identity", "coverage", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def contaminated(aln: DataFrame, identity: float, coverage: float) -> DataFrame:
     """Queries whose best alignment with some subject reaches both thresholds. Scores compare as numbers."""
-    best = aln.groupBy("query_id", "subject").agg(F.max_by(F.struct("identity", "coverage"), F.struct("bitscore", -F.col("ord"))).alias("b"))
-    return best.where((F.col("b.identity") >= identity) & (F.col("b.coverage") >= coverage)).select("query_id").distinct()
+    return _best_of_pairs(aln).where((F.col("b.identity") >= identity) & (F.col("b.coverage") >= coverage)).select("query_id").distinct()
 
 
 def rdp_triples(fields: Column) -> Column:

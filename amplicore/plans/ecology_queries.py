@@ -118,12 +118,15 @@ def diff_table_split(spark, sf_dir):
 
 
 @query("differential_table", """SELECT p_partkey AS obs_id, p_brand AS brand, (p_size - 25) / 10::DOUBLE AS log2fc, CASE WHEN p_size > 25 THEN 'over' ELSE 'under' END AS side,
-CASE WHEN p_size >= 45 THEN '#b40426' WHEN p_size >= 35 THEN '#ee8468' WHEN p_size <= 5 THEN '#3b4cc0' WHEN p_size <= 15 THEN '#8db0fe' ELSE '#dddddd' END AS colour FROM part WHERE p_size < 5""")
+CASE WHEN p_size > 25 THEN CASE WHEN p_size < 35 THEN '#DE894E' WHEN p_size < 45 THEN '#B26E3E' ELSE '#9B6037' END
+WHEN p_size < 25 THEN CASE WHEN p_size > 15 THEN '#B0C6C5' WHEN p_size > 5 THEN '#8EADAC' ELSE '#637978' END END AS colour,
+CASE WHEN p_partkey % 100 < 1 THEN 'W11' WHEN p_partkey % 100 < 10 THEN 'W10' ELSE 'W9' END AS width FROM part WHERE p_partkey % 100 < 50""")
 def differential_table(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    stats = p.select(F.col("p_partkey").alias("obs_id"), ((F.col("p_size") - 25) / 10).alias("log2fc"), (F.col("p_size") / 100).alias("padj"))
+    stats = p.select(F.col("p_partkey").alias("obs_id"), ((F.col("p_size") - 25) / 10).alias("log2fc"), (F.col("p_partkey") % 100 / 1000).alias("padj"))
     out = E.differential(stats, p.select(F.col("p_partkey").alias("obs_id"), F.col("p_brand").alias("brand")), 0.05)
-    return out.select("obs_id", "brand", "log2fc", "side", E.map_style(F.col("log2fc"), F.col("padj"))[0].alias("colour"))
+    colour, width = E.map_style(F.col("log2fc"), F.col("padj"))
+    return out.select("obs_id", "brand", "log2fc", "side", colour.alias("colour"), width.alias("width"))
 
 
 @query("metagenome_functions", f"""WITH {AB_SQL} SELECT sample_id, p_type AS function, round(sum(n::DOUBLE / (1 + obs_id % 3) * p_size), 6) AS value FROM ab JOIN part ON obs_id = p_partkey GROUP BY 1, 2""")

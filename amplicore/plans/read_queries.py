@@ -10,12 +10,13 @@ from amplicore.plans.bridge import reads, table
 from amplicore.plans.registry import query
 
 BARCODES = [("s1", "acgt"), ("s2", "ccgg"), ("s3", "ttaa"), ("s4", "gatc")]
-_HEX, _ACGT = "0123456789abcdef", "acgtacgtacgtacgt"
-_SEQ_SQL = f"q AS (SELECT doc_id AS seq_id, source AS sample_id, translate(md5(CAST(doc_id AS VARCHAR)), '{_HEX}', '{_ACGT}') AS sequence FROM documents)"
+_LETTERS, _ACGT = "abcdefghijklmnopqrstuvwxyz", "acgtacgtacgtacgtacgtacgtac"
+_SEQ_SQL = f"q AS (SELECT doc_id AS seq_id, source AS sample_id, translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{_LETTERS}', '{_ACGT}') AS sequence FROM documents)"
 
 
 def _dna(spark, sf_dir):
-    seq = F.translate(F.md5(F.col("doc_id").cast("string").cast("binary")), _HEX, _ACGT)
+    """Whole texts as reads: each of their letters stands for a base."""
+    seq = F.translate(F.regexp_replace(F.lower("text"), "[^a-z]", ""), _LETTERS, _ACGT)
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), F.col("source").alias("sample_id"), seq.alias("sequence"), F.lit(1).alias("size"))
 
 
@@ -43,19 +44,19 @@ def read_homopolymer(spark, sf_dir):
     return _dna(spark, sf_dir).where(~S.long_homopolymer(F.col("sequence"), 3)).select("seq_id", "sequence")
 
 
-@query("read_quality_filter", "SELECT doc_id AS seq_id FROM documents WHERE NOT regexp_matches(regexp_replace(translate(md5(CAST(doc_id AS VARCHAR)), '01', '!!'), '[^!]', 'H', 'g'), '^!|!H{0,5}!')")
+@query("read_quality_filter", "SELECT doc_id AS seq_id FROM documents WHERE NOT regexp_matches(regexp_replace(translate(text, 'xq', '!!'), '[^!]', 'H', 'g'), '^!|!H{0,5}!')")
 def read_quality_filter(spark, sf_dir):
-    q = F.translate(F.md5(F.col("doc_id").cast("string").cast("binary")), "01", "!!")
+    q = F.translate("text", "xq", "!!")
     return table(spark, sf_dir, "documents").where(~S.poor_quality(q, 1, 5)).select(F.col("doc_id").alias("seq_id"))
 
 
-_CASCADE = f"""{_SEQ_SQL}, j AS (SELECT *, CASE WHEN NOT contains(sequence, 'ac') THEN 'tag' WHEN length(replace(sequence, 'gg', '')) NOT BETWEEN 26 AND 32 THEN 'length'
+_CASCADE = f"""{_SEQ_SQL}, j AS (SELECT *, CASE WHEN NOT contains(sequence, 'ac') THEN 'tag' WHEN length(replace(sequence, 'gg', '')) NOT BETWEEN 400 AND 3000 THEN 'length'
 WHEN regexp_matches(sequence, '{_RUNS}') THEN 'homopolymer' END AS reason FROM q)"""
 
 
 def _cascade(spark, sf_dir):
     seq = F.col("sequence")
-    tests = {"tag": ~seq.contains("ac"), "length": ~F.length(F.replace(seq, F.lit("gg"), F.lit(""))).between(26, 32), "homopolymer": S.long_homopolymer(seq, 3)}
+    tests = {"tag": ~seq.contains("ac"), "length": ~F.length(F.replace(seq, F.lit("gg"), F.lit(""))).between(400, 3000), "homopolymer": S.long_homopolymer(seq, 3)}
     return R.failing(_dna(spark, sf_dir), tests)
 
 
@@ -74,7 +75,7 @@ def reverse_complement(spark, sf_dir):
     return _dna(spark, sf_dir).select("seq_id", S.reverse_complement(F.col("sequence")).alias("sequence"))
 
 
-@query("combine_split_roundtrip", f"""WITH {_SEQ_SQL} SELECT CAST(seq_id AS VARCHAR) AS name, sequence AS "first", substr(sequence, 9, 16) AS "second", 16 + length(sequence) + 4 AS length FROM q""")
+@query("combine_split_roundtrip", f"""WITH {_SEQ_SQL} SELECT CAST(seq_id AS VARCHAR) AS name, sequence AS "first", substr(sequence, 9, 16) AS "second", length(substr(sequence, 9, 16)) + length(sequence) + 4 AS length FROM q""")
 def combine_split_roundtrip(spark, sf_dir):
     d = _dna(spark, sf_dir)
     one = d.select(F.concat(F.col("seq_id").cast("string"), F.lit("/1")).alias("seq_id"), "sequence")

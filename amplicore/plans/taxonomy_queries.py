@@ -179,7 +179,9 @@ def alignment_distribution(spark, sf_dir):
     return X.alignment_distribution(X.affiliations(_best(spark, sf_dir)), reads)
 
 
-@query("identity_coverage_heatmap", f"WITH {AFF_SQL} SELECT CAST(floor(identity + 0.5) AS BIGINT) AS identity, CAST(floor(coverage + 0.5) AS BIGINT) AS coverage, count(*) AS n FROM aff GROUP BY 1, 2")
+@query("identity_coverage_heatmap", f"""WITH {AFF_SQL}, b AS (SELECT * FROM aff QUALIFY row_number() OVER (PARTITION BY query_id, subject ORDER BY bitscore DESC, ord) = 1),
+g AS (SELECT CAST(i AS BIGINT) AS identity, CAST(c AS BIGINT) AS coverage FROM (SELECT unnest(range(101)) AS i), (SELECT unnest(range(101)) AS c))
+SELECT g.identity, g.coverage, count(b.query_id) AS n FROM g LEFT JOIN b ON g.identity = floor(b.identity + 0.5) AND g.coverage = floor(b.coverage + 0.5) GROUP BY 1, 2""")
 def identity_coverage_heatmap(spark, sf_dir):
     return X.heat_map(alignments(spark, sf_dir))
 
@@ -205,18 +207,20 @@ def training_taxonomy(spark, sf_dir):
     return X.training_nodes(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ord"), F.array("p_type", "p_brand").alias("taxonomy")))
 
 
-@query("link_by_prefix", """SELECT p_partkey AS obs_id, CASE WHEN p_type LIKE 'E%' THEN 'https://enzyme.expasy.org/EC/' || p_size WHEN p_size < 20 THEN 'https://www.ncbi.nlm.nih.gov/research/cog/cog/COG' || p_size ELSE 'no link' END AS link FROM part""")
+@query("link_by_prefix", """SELECT p_partkey AS obs_id, CASE WHEN p_type LIKE 'E%' THEN 'https://www.genome.jp/dbget-bin/www_bget?EC:' || p_size WHEN p_size < 10 THEN 'https://www.ncbi.nlm.nih.gov/research/cog/cog/xCOG' || p_size
+WHEN p_size < 20 THEN 'https://pfam.xfam.org/family/PF' || p_size WHEN p_size < 30 THEN 'https://www.genome.jp/dbget-bin/www_bget?ko:K000' || p_size ELSE 'no link' END AS link FROM part""")
 def link_by_prefix(spark, sf_dir):
     size = F.col("p_size").cast("string")
-    name = F.when(F.col("p_type").startswith("E"), F.concat(F.lit("EC:"), size)).when(F.col("p_size") < 20, F.concat(F.lit("COG"), size)).otherwise(size)
+    name = F.when(F.col("p_type").startswith("E"), F.concat(F.lit("EC:"), size)).when(F.col("p_size") < 10, F.concat(F.lit("xCOG"), size)).when(F.col("p_size") < 20, F.concat(F.lit("PF"), size)).when(F.col("p_size") < 30, F.concat(F.lit("ko:K000"), size)).otherwise(size)
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("obs_id"), T.link(name).alias("link"))
 
 
-@query("clean_species", "SELECT p_partkey AS obs_id, CASE WHEN p_size < 10 THEN 'unknown species' ELSE p_name END AS species FROM part")
+@query("clean_species", """SELECT p_partkey AS obs_id, CASE WHEN p_size < 5 THEN 'unknown species' WHEN p_size < 10 THEN p_brand || ' metagenome' WHEN p_size < 20 THEN 'G' || p_partkey || ' sp.'
+WHEN p_size < 30 THEN 'G' || p_partkey || ' s' WHEN p_size < 40 THEN p_name ELSE p_name || ' DSM 20 x' END AS species FROM part""")
 def clean_species(spark, sf_dir):
     s = F.col("p_size")
-    name = F.when(s < 5, F.concat(F.lit("uncultured "), "p_name")).when(s < 10, F.concat("p_name", F.lit(" metagenome"))).when(s < 20, F.concat("p_name", F.lit(" sp. strain 1"))).when(s < 30, F.concat("p_name", F.lit(" subsp. x"))).when(s < 40, F.concat("p_name", F.lit(" DSM 20")))
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("obs_id"), T.cleaned_species(name.otherwise(F.col("p_name"))).alias("species"))
+    name = F.when(s < 5, F.concat(F.lit("uncultured "), "p_name")).when(s < 10, F.concat("p_brand", F.lit(" metagenome"))).when(s < 20, F.concat(F.lit("G"), "p_partkey", F.lit(" sp. strain 1"))).when(s < 30, F.concat(F.lit("G"), "p_partkey", F.lit(" s subsp. x"))).when(s < 40, F.concat("p_name", F.lit(" DSM 20")))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("obs_id"), T.cleaned_species(name.otherwise(F.concat("p_name", F.lit(" DSM 20 x")))).alias("species"))
 
 
 @query("complete_ranks", "SELECT p_partkey AS obs_id, p_type || ';' || CASE WHEN p_size > 25 THEN p_brand || ';unknown genus' ELSE 'unknown family;unknown genus' END AS lineage FROM part")

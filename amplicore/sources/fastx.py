@@ -19,8 +19,8 @@ def _named(header: Column) -> tuple[Column, Column]:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """seq_id, description, sequence, sample_id; records of many lines are joined."""
-    rows = spark.read.option("lineSep", ">").text(path).select("value", sample_name().alias("sample_id")).where(F.trim("value") != "")
+    """seq_id, description, sequence, sample_id; records of many lines are joined. A record begins where a line begins with >."""
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", r"^\s*>", "").alias("value"), sample_name().alias("sample_id")).where(F.trim("value") != "")
     body = F.regexp_replace(F.regexp_replace("value", r"^[^\n]*\n?", ""), r"\s+", "")
     return rows.select(*_named(F.regexp_replace(F.regexp_extract("value", r"^([^\n]*)", 1), "\r", "")), body.alias("sequence"), "sample_id")
 

@@ -11,7 +11,8 @@ from amplicore.sources.fastx import read_fasta
 
 #: The columns of tabular alignments, and old names of multi-hit columns with their new ones.
 ALIGNMENT = "qseqid string, sseqid string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue string, bitscore double, qlen int, slen int"
-OLD_NAMES = {"#OTU": "observation_name", "OTU": "observation_name", "#observation_name": "observation_name", "taxonomy": "blast_taxonomy", "subject": "blast_subject", "evalue": "blast_evalue", "perc_identity": "blast_perc_identity", "perc_query_coverage": "blast_perc_query_coverage", "aln_length": "blast_aln_length"}
+OLD_NAMES = {"OTU": "observation_name", "Subject_taxonomy": "blast_taxonomy", "Blast_subject": "blast_subject", "Prct_identity": "blast_perc_identity", "Prct_query_coverage": "blast_perc_query_coverage", "e-value": "blast_evalue", "Alignment_length": "blast_aln_length"}
+MULTI_HIT = ["observation_name", "blast_taxonomy", "blast_subject", "blast_perc_identity", "blast_perc_query_coverage", "blast_perc_subject_coverage", "blast_evalue", "blast_aln_length"]
 
 
 def read_alignments(spark: SparkSession, path: str) -> DataFrame:
@@ -46,9 +47,12 @@ def read_rdp(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_multi_hits(spark: SparkSession, path: str) -> DataFrame:
-    """obs_id, affs of a table of detailed affiliations; old headers are renamed."""
+    """obs_id, affs of a table of detailed affiliations; old headers are renamed, others are an error."""
     df = spark.read.option("sep", "\t").option("header", True).csv(path)
-    df = df.toDF(*[OLD_NAMES.get(c, c) for c in df.columns])
+    names = [c.replace("#", "").replace('"', "").strip() for c in df.columns]
+    df = df.toDF(*[OLD_NAMES.get(c, c) for c in names])
+    if wrong := [c for c in df.columns if c not in MULTI_HIT]:
+        raise ValueError(f"not columns of detailed affiliations: {', '.join(wrong)}")
     each = F.struct(F.col("blast_subject").alias("subject"), F.split("blast_taxonomy", ";").alias("taxonomy"), F.col("blast_perc_identity").cast("double").alias("identity"), F.col("blast_perc_query_coverage").cast("double").alias("coverage"), F.col("blast_evalue").alias("evalue"), F.col("blast_aln_length").cast("int").alias("aln_length"))
     return df.groupBy(F.col("observation_name").alias("obs_id")).agg(F.collect_list(each).alias("affs"))
 

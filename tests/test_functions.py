@@ -49,6 +49,44 @@ def test_species_and_ranks(spark):
     assert list(r) == ["Bacillus cereus", "unknown species", ["K", "unknown genus"], "Eleve", "float"]
 
 
+def test_species_cases(spark):
+    """Cases of the rule: leading uncultured, whole undefined names, sp., subsp. of two words, a final DSM number."""
+    cases = {
+        "uncultured bacterium": "unknown species", "Undefined": "unknown species", "incertae sedis": "unknown species", "unidentified": "unknown species",
+        "soil metagenome": "soil metagenome", "an uncultured one": "an uncultured one", "Bacillus sp. X5": "Bacillus sp.", "Bacillus sp.": "Bacillus sp.",
+        "Bacillus cereus subsp. x": "Bacillus cereus", "A b c subsp. x": "A b c subsp. x", "Bacillus cereus DSM 31": "Bacillus cereus", "Bacillus cereus DSMY 31": "Bacillus cereus",
+        "Bacillus cereus DSM 31 x": "Bacillus cereus DSM 31 x", "Bacillus cereus DSMZ 31": "Bacillus cereus DSMZ 31",
+    }
+    rows = spark.createDataFrame(list(cases.items()), "name string, want string").withColumn("got", T.cleaned_species(F.col("name"))).collect()
+    assert [(r["name"], r["got"]) for r in rows] == [(r["name"], r["want"]) for r in rows]
+
+
+def test_links_and_map_styles(spark):
+    from amplicore.operators import ecology as E
+
+    r = one(spark, a=T.link(F.lit("xCOG1")), b=T.link(F.lit("PF02")), c=T.link(F.lit("ko:K00001")), d=T.link(F.lit("EC:1.1")), e=T.link(F.lit("K1")))
+    assert [x.rsplit("/", 1)[-1] for x in r] == ["xCOG1", "PF02", "www_bget?ko:K00001", "www_bget?EC:1.1", "no link"]
+    styles = [tuple(one(spark, c=E.map_style(F.lit(fc), F.lit(p))[0], w=E.map_style(F.lit(fc), F.lit(p))[1])) for fc, p in ((0.5, 0.0001), (1.0, 0.005), (2.0, 0.02), (-0.5, 0.001), (-1.0, 0.01), (-2.0, 0.5), (0.0, 0.5))]
+    assert styles == [("#DE894E", "W11"), ("#B26E3E", "W10"), ("#9B6037", "W9"), ("#B0C6C5", "W10"), ("#8EADAC", "W9"), ("#637978", "W9"), (None, "W9")]
+
+
+def test_empty_lineages_and_barcodes(spark):
+    from amplicore.operators import matrix as M
+    from amplicore.operators import reads as R
+    from amplicore.operators import taxonomy as X
+
+    ab = spark.createDataFrame([("o", "s", 5), ("p", "s", 2)], "obs_id string, sample_id string, count long")
+    lin = spark.createDataFrame([("o", []), ("p", ["A", "B"])], "obs_id string, taxonomy array<string>")
+    assert sorted((r["lineage"], r["count"]) for r in X.rollup(ab, lin).collect()) == [("A", 2), ("A;B", 2)]
+    reads = spark.createDataFrame([(1, None), (2, "ACGTA"), (3, "")], "seq_id long, sequence string")
+    codes = spark.createDataFrame([("s1", "ACGT"), ("s2", "")], "sample_id string, barcode string")
+    assert {r["seq_id"]: r["barcode"] for r in R.demultiplexed(reads, codes.where("barcode <> ''"), 1).collect()} == {1: "unmatched", 2: "s1", 3: "unmatched"}
+    assert {r["barcode"] for r in R.demultiplexed(reads, codes.where("false"), 1).collect()} == {"unmatched"}
+    assert one(spark, x=S.mismatches(F.lit("AC"), F.lit("")))["x"] == 0
+    deep = M.depth_histogram(spark.createDataFrame([("o", "s", 200_000), ("p", "s", 1)], "obs_id string, sample_id string, count long"))
+    assert deep.count() == 200_000 and deep.where("nb_observ > 0").count() == 2
+
+
 def test_homopolymers(spark):
     def bad(s):
         return one(spark, x=S.long_homopolymer(F.lit(s), 3))["x"]

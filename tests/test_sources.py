@@ -84,9 +84,14 @@ def test_sample_files(tmp_path):
 
 
 def test_tables(spark, tmp_path):
-    (tmp_path / "h.tsv").write_text("#observation_name\tsubject\ttaxonomy\tperc_identity\tperc_query_coverage\tevalue\taln_length\no1\tx\tA;B\t99.5\t100\t0\t20\n")
-    r = tables.read_multi_hits(spark, str(tmp_path / "h.tsv")).first()
-    assert r["obs_id"] == "o1" and r["affs"][0]["taxonomy"] == ["A", "B"]
+    (tmp_path / "h.tsv").write_text("#observation_name\tblast_taxonomy\tblast_subject\tblast_perc_identity\tblast_perc_query_coverage\tblast_evalue\tblast_aln_length\no1\tA;B\tx\t99.5\t100\t0\t20\n")
+    (tmp_path / "old.tsv").write_text("#OTU\tSubject_taxonomy\tBlast_subject\tPrct_identity\tPrct_query_coverage\te-value\tAlignment_length\no1\tA;B\tx\t99.5\t100\t0\t20\n")
+    for name in ("h.tsv", "old.tsv"):
+        r = tables.read_multi_hits(spark, str(tmp_path / name)).first()
+        assert r["obs_id"] == "o1" and r["affs"][0]["taxonomy"] == ["A", "B"] and r["affs"][0]["identity"] == 99.5
+    (tmp_path / "bad.tsv").write_text("OTU\tnot_a_column\no1\tx\n")
+    with pytest.raises(ValueError):
+        tables.read_multi_hits(spark, str(tmp_path / "bad.tsv"))
     (tmp_path / "r.tsv").write_text("s1\ta\n\ns2\tb\n")
     assert tables.read_replicates(spark, str(tmp_path / "r.tsv")).count() == 2
     with pytest.raises(ValueError):
@@ -109,6 +114,20 @@ def test_newick(spark, tmp_path):
     assert newick.written([(("A", "B"), {"s": 1}), (("A", "C"), None)]) == '(("B":{"s": 1},"C")"A")"root";'
 
 
+def test_newick_names_of_closed_nodes(spark):
+    got = newick.parsed("((a,b),c,(d,e)c2:1,(f)'c''3'[note])r;")
+    leaves = sorted(n for _, n, _, leaf in got if leaf)
+    assert leaves == ["a", "b", "c", "d", "e", "f"]
+    up = {n: p for p, n, _, leaf in got if leaf}
+    assert up["d"] == "c2" and up["c"] == "r" and up["f"] == "c'3" and up["a"].startswith("#")
+
+
+def test_fasta_marks_inside_lines(spark, tmp_path):
+    (tmp_path / "s.fasta").write_text(">a desc x>y more\nACGT\r\nAC>GT\n>b\n\nTT\n")
+    got = sorted((r["seq_id"], r["description"], r["sequence"]) for r in fastx.read_fasta(spark, str(tmp_path / "s.fasta")).collect())
+    assert got == [("a", "desc x>y more", "ACGTAC>GT"), ("b", None, "TT")]
+
+
 def test_wide_table(spark):
     obs = spark.createDataFrame([("o1", "x"), ("o2", None)], "obs_id string, note string")
     ab = spark.createDataFrame([("o1", "s1", 2)], "obs_id string, sample_id string, count long")
