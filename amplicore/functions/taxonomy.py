@@ -102,3 +102,35 @@ def link(name: Column) -> Column:
     for held, url in LINKS:
         out = out.when(name.rlike(held), F.concat(F.lit(url), name))
     return out.otherwise(F.lit("no link"))
+
+
+def same_depth(a: Column, b: Column) -> Column:
+    """How many leading names two lineages share."""
+    both = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    first = F.array_position(both, False)
+    return F.when(first > 0, first - 1).otherwise(F.size(both).cast("long"))
+
+
+def lowest_shared(a: Column, b: Column, ranks: list[str]) -> Column:
+    """The name of the deepest rank down to which two lineages agree; null if they differ from the first on."""
+    return F.get(F.array(*[F.lit(r) for r in ranks]), (same_depth(a, b) - 1).cast("int"))
+
+
+def converted(lineage: Column, ranks: list[str], domains: list[str]) -> Column:
+    """A reference's lineage at fixed ranks, missing ones unknown; null outside the domains."""
+    return F.when(F.get(lineage, F.lit(0)).isin(domains), completed(lineage, ranks))
+
+
+def as_dna(seq: Column) -> Column:
+    return F.translate(seq, "Uu", "Tt")
+
+
+def ratio(value: str | float) -> float:
+    """A share in percent, 0 to 100; anything else is an error."""
+    try:
+        out = float(value)
+    except (TypeError, ValueError):
+        out = -1.0
+    if not 0 <= out <= 100:
+        raise ValueError(f"{value} isn't between 0 and 100")
+    return out

@@ -174,3 +174,35 @@ def normalisation_report(before: DataFrame, after: DataFrame) -> DataFrame:
     a = before.groupBy("sample_id").agg(F.count("*").alias("before"))
     b = after.groupBy("sample_id").agg(F.count("*").alias("after"))
     return a.join(b, "sample_id", "full").select("sample_id", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"))
+
+
+def its_failures(ab: DataFrame, found: DataFrame, kind: str, preserve: bool) -> DataFrame:
+    """obs_id of observations that go after a search for a region. found: obs_id, detection (a region's name, or no_detections).
+
+    Without preserve all go but those found as kind; with it only those without any detection."""
+    ids = ab.select("obs_id").distinct()
+    if preserve:
+        return ids.join(found.where("detection = 'no_detections'"), "obs_id", "left_semi")
+    return ids.join(found.where(F.col("detection") == kind), "obs_id", "left_anti")
+
+
+def function_failures(refs: DataFrame, least_identity: float | None = None, least_coverage: float | None = None, most_nsti: float | None = None) -> DataFrame:
+    """obs_id, parameters, values of observations too far from their reference: below a share (identity, coverage) or above an
+    nsti, the reasons joined by commas. refs: obs_id, identity, coverage (shares), nsti. Thresholds of 0 or none don't count."""
+    tests = [(least_identity, "min_blast_identity", "identity", F.col("identity") < (least_identity or 0)), (least_coverage, "min_blast_coverage", "coverage", F.col("coverage") < (least_coverage or 0)), (most_nsti, "max_nsti", "nsti", F.col("nsti") > (most_nsti or 0))]
+    tests = [t for t in tests if t[0]]
+    names = F.array_join(F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(bad, p) for _, p, _, bad in tests])), ",")
+    values = F.array_join(F.array_compact(F.array(F.lit(None).cast("string"), *[F.when(bad, F.concat(F.lit(f"{c} = "), F.col(c).cast("string"))) for _, _, c, bad in tests])), ",")
+    return refs.select("obs_id", names.alias("parameters"), values.alias("values")).where("parameters <> ''")
+
+
+def check_nsti(refs: DataFrame, most_nsti: float) -> None:
+    """An error if the threshold would remove every observation that has an nsti."""
+    least = refs.agg(F.min("nsti")).first()[0]
+    if least is not None and most_nsti < least:
+        raise ValueError(f"an nsti of {most_nsti} at most removes all observations (the least is {least})")
+
+
+def absent_from_tree(records: DataFrame, tree: DataFrame) -> DataFrame:
+    """seq_id of records that are no leaf of the tree. tree: node, leaf."""
+    return records.select("seq_id").join(tree.where("leaf").select(F.col("node").alias("seq_id")), "seq_id", "left_anti")

@@ -152,3 +152,49 @@ def rad_label(assigned: DataFrame, tag: str) -> DataFrame:
     n = F.regexp_count("sequence", F.lit(tag))
     matched = ~F.col("barcode").isin("unmatched", "ambiguous")
     return assigned.withColumn("barcode", F.when(matched & (n == 0), "unmatched").when(matched & (n > 1), F.concat("barcode", F.lit("_2rad"))).otherwise(F.col("barcode")))
+
+
+#: What stands for the filler of a joined pair while clusters are made, and how its description names the place.
+FILLER, STANDS_FOR, PLACE = "N" * 100, "A" * 50 + "C" * 50, "50A50C"
+
+
+def fillers_hidden(reads: DataFrame) -> DataFrame:
+    """Joined pairs (their id says combined) with another filler for the N, the place of all N at the end of the description.
+
+    A joined pair without filler has a null sequence, as it can't be one; other reads stay as they are."""
+    first, last = F.locate("N", F.col("sequence")) - 1, F.length("sequence") - F.locate("N", F.reverse("sequence"))
+    place = F.concat(F.coalesce("description", F.lit("")), F.concat_ws(":", F.lit(PLACE), first, last))
+    joined, filled = F.col("seq_id").contains("combined"), F.col("sequence").contains(FILLER)
+    out = reads.withColumn("description", F.when(joined & filled, place).otherwise(F.col("description")))
+    return out.withColumn("sequence", F.when(joined & ~filled, None).when(joined, F.replace("sequence", F.lit(FILLER), F.lit(STANDS_FOR))).otherwise(F.col("sequence")))
+
+
+def fillers_restored(reads: DataFrame) -> DataFrame:
+    """The inverse of fillers_hidden. A joined pair without place, or with other letters there, has a null sequence."""
+    pattern = PLACE + r":(\d+):(\d+)$"
+    note = F.coalesce("description", F.lit(""))
+    first, last = F.regexp_extract(note, pattern, 1).try_cast("int"), F.regexp_extract(note, pattern, 2).try_cast("int")
+    joined = F.col("seq_id").contains("combined")
+    good = note.rlike(pattern) & (F.substr("sequence", first + 1, last - first + 1) == STANDS_FOR)
+    back = F.concat(F.substr("sequence", F.lit(1), first), F.repeat(F.lit("N"), last - first + 1), F.substr("sequence", last + 2))
+    out = reads.withColumn("sequence", F.when(joined & good, back).when(joined, None).otherwise(F.col("sequence")))
+    return out.withColumn("description", F.when(joined & note.rlike(pattern), F.nullif(F.regexp_replace(note, pattern, ""), F.lit(""))).otherwise(F.col("description")))
+
+
+def by_filler(reads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Reads of full length, and joined ones (those that hold an N)."""
+    held = F.coalesce(F.col("sequence").contains("N"), F.lit(False))
+    return reads.where(~held), reads.where(held)
+
+
+def adjusted_bounds(least: int, most: int, five: str, three: str) -> tuple[int, int]:
+    """Bounds of length of amplicons without their primers."""
+    return least - len(five) - len(three), most - len(five) - len(three)
+
+
+def chunks(reads: DataFrame, n: int | None = None, size: int | None = None) -> DataFrame:
+    """reads with chunk: n chunks by a hash of the id, or as many as hold about size reads each. Nothing is sorted or gathered."""
+    if (n is None) == (size is None):
+        raise ValueError("either n or size")
+    parts = n if n is not None else max(1, -(-reads.count() // size))
+    return reads.withColumn("chunk", F.pmod(F.xxhash64("seq_id"), F.lit(parts)).cast("int"))

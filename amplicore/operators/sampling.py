@@ -109,3 +109,17 @@ def rarefied_richness(ab: DataFrame, depths: list[int]) -> DataFrame:
         return pd.Series(np.where(ok, 1 - lost, 1.0))
 
     return rows.groupBy("sample_id", "depth").agg(F.sum(seen("count", "all", "depth")).alias("richness"))
+
+
+def ranked_taxa(lineages: DataFrame, rank: int, deepest: int) -> DataFrame:
+    """obs_id, taxon: names down to a rank (from 0) in lower case; those that begin with unknown are unknown, as are missing ones
+    up to the deepest rank asked for."""
+    names = F.transform(F.coalesce("taxonomy", F.array().cast("array<string>")), lambda x: F.when(F.lower(x).startswith("unknown"), "unknown").otherwise(x))
+    padded = F.concat(names, F.array_repeat(F.lit("unknown"), F.greatest(F.lit(deepest) - F.size(names), F.lit(0))))
+    return lineages.select("obs_id", F.lower(F.array_join(F.slice(padded, 1, rank + 1), ";")).alias("taxon"))
+
+
+def rarefaction_table(curve: DataFrame, samples: list[str]) -> DataFrame:
+    """nb_sampled and a column for each sample, empty text beyond its reads. curve: sample_id, nb_sampled, taxa."""
+    out = curve.groupBy("nb_sampled").pivot("sample_id", samples).agg(F.first(F.col("taxa").cast("string")))
+    return out.na.fill("", samples)

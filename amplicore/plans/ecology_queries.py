@@ -47,6 +47,18 @@ def rarefaction_curve(spark, sf_dir):
     return P.rarefaction(_small(spark, sf_dir), None, 5000)
 
 
+@query("rarefaction_ranks", f"""WITH {_SMALL_SQL}, x AS (SELECT obs_id, CASE WHEN obs_id LIKE '%1' THEN 'unknown;unknown' WHEN obs_id LIKE '%2' THEN lower(obs_id) || ';unknown' ELSE lower(obs_id) || ';' || substr(lower(obs_id), 7, 1) END AS taxon FROM (SELECT DISTINCT obs_id FROM sm)),
+f AS (SELECT sample_id, taxon, min(r) AS r FROM rk JOIN x USING (obs_id) GROUP BY 1, 2), g AS (SELECT sample_id, unnest(generate_series(1, any_value(total) // 5000)) AS k FROM rk GROUP BY 1),
+c AS (SELECT g.sample_id, k * 5000 AS nb_sampled, count(f.r) AS taxa FROM g LEFT JOIN f ON f.sample_id = g.sample_id AND f.r <= k * 5000 GROUP BY 1, 2)
+SELECT nb_sampled, coalesce(max(CAST(taxa AS VARCHAR)) FILTER (sample_id = 'ASIA'), '') AS "ASIA", coalesce(max(CAST(taxa AS VARCHAR)) FILTER (sample_id = 'EUROPE'), '') AS "EUROPE" FROM c WHERE sample_id IN ('ASIA', 'EUROPE') GROUP BY 1""")
+def rarefaction_ranks(spark, sf_dir):
+    ab = _small(spark, sf_dir)
+    own, last = F.col("obs_id"), F.substr("obs_id", F.length("obs_id"))
+    names = F.when(last == "1", F.array(F.lit("Unknown brand"))).when(last == "2", F.array(own)).otherwise(F.array(own, F.substr("obs_id", F.lit(7), F.lit(1))))
+    lin = ab.select("obs_id").distinct().select("obs_id", names.alias("taxonomy"))
+    return P.rarefaction_table(P.rarefaction(ab, P.ranked_taxa(lin, 1, 2), 5000).where("sample_id in ('ASIA', 'EUROPE')"), ["ASIA", "EUROPE"])
+
+
 @query("rarefaction_step", f"WITH {AB_SQL}, t AS (SELECT sample_id, sum(n) AS n FROM ab GROUP BY 1), r AS (SELECT n, row_number() OVER (ORDER BY n, sample_id) AS r, count(*) OVER () AS k FROM t) SELECT CAST(greatest(1, n // 35) AS BIGINT) AS step FROM r WHERE r = k // 4 + 1")
 def rarefaction_step(spark, sf_dir):
     return spark.createDataFrame([(P.step_size(abundance(spark, sf_dir)),)], "step long")

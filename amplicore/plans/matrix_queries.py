@@ -176,9 +176,34 @@ def keep_survivors(spark, sf_dir):
     return M.only(records, M.without(ab, M.failures(ab, _tests())))
 
 
-@query("function_filter", """SELECT p_partkey AS obs_id, array_to_string(list_filter([CASE WHEN p_retailprice < 950 THEN 'identity' END, CASE WHEN p_size < 10 THEN 'coverage' END,
-CASE WHEN p_size > 40 THEN 'nsti' END], lambda x: x IS NOT NULL), ',') AS reasons FROM part WHERE p_retailprice < 950 OR p_size < 10 OR p_size > 40""")
+@query("function_filter", """SELECT p_partkey AS obs_id, array_to_string(list_filter([CASE WHEN p_retailprice < 950 THEN 'min_blast_identity' END, CASE WHEN p_size < 10 THEN 'min_blast_coverage' END,
+CASE WHEN p_size > 40 THEN 'max_nsti' END], lambda x: x IS NOT NULL), ',') AS reasons FROM part WHERE p_retailprice < 950 OR p_size < 10 OR p_size > 40""")
 def function_filter(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    reasons = F.array_join(F.array_compact(F.array(F.when(F.col("p_retailprice") < 950, "identity"), F.when(F.col("p_size") < 10, "coverage"), F.when(F.col("p_size") > 40, "nsti"))), ",")
-    return p.select(F.col("p_partkey").alias("obs_id"), reasons.alias("reasons")).where("reasons <> ''")
+    refs = p.select(F.col("p_partkey").alias("obs_id"), F.col("p_retailprice").alias("identity"), F.col("p_size").alias("coverage"), F.col("p_size").alias("nsti"))
+    M.check_nsti(refs, 40)
+    return M.function_failures(refs, 950, 10, 40).select("obs_id", F.col("parameters").alias("reasons"))
+
+
+_FOUND_SQL = "fnd AS (SELECT o_orderkey AS obs_id, CASE o_orderstatus WHEN 'F' THEN 'ITS1' WHEN 'O' THEN 'ITS2' ELSE 'no_detections' END AS detection FROM orders)"
+
+
+def _found(spark, sf_dir):
+    kind = F.when(F.col("o_orderstatus") == "F", "ITS1").when(F.col("o_orderstatus") == "O", "ITS2").otherwise("no_detections")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("obs_id"), kind.alias("detection"))
+
+
+@query("its_filter", f"WITH {ABS_SQL}, {_FOUND_SQL} SELECT DISTINCT obs_id FROM abs_ WHERE obs_id NOT IN (SELECT obs_id FROM fnd WHERE detection = 'ITS1')")
+def its_filter(spark, sf_dir):
+    return M.its_failures(sparse_abundance(spark, sf_dir), _found(spark, sf_dir), "ITS1", preserve=False)
+
+
+@query("its_filter_preserve", f"WITH {ABS_SQL}, {_FOUND_SQL} SELECT DISTINCT obs_id FROM abs_ WHERE obs_id IN (SELECT obs_id FROM fnd WHERE detection = 'no_detections')")
+def its_filter_preserve(spark, sf_dir):
+    return M.its_failures(sparse_abundance(spark, sf_dir), _found(spark, sf_dir), "ITS1", preserve=True)
+
+
+@query("absent_from_tree", "SELECT p_partkey AS seq_id FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)")
+def absent_from_tree(spark, sf_dir):
+    tree = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("node"), (F.col("l_quantity") > 49).alias("leaf"))
+    return M.absent_from_tree(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq_id")), tree)

@@ -209,3 +209,43 @@ def demultiplex_accounting(spark, sf_dir):
 @query("demultiplex_rad", f"{_DEMUX} SELECT seq_id, CASE WHEN barcode IN ('unmatched', 'ambiguous') THEN barcode WHEN len(regexp_extract_all(sequence, 'tgc')) = 0 THEN 'unmatched' WHEN len(regexp_extract_all(sequence, 'tgc')) > 1 THEN barcode || '_2rad' ELSE barcode END AS barcode FROM x")
 def demultiplex_rad(spark, sf_dir):
     return R.rad_label(R.demultiplexed(_dna(spark, sf_dir), _codes(spark), 1), "tgc").select("seq_id", "barcode")
+
+
+_JOINED_SQL = "j AS (SELECT doc_id, 'r' || doc_id || CASE WHEN doc_id % 2 = 0 THEN '_combined' ELSE '' END AS seq_id, lang AS description, CASE WHEN doc_id % 2 = 0 THEN upper(sequence) || repeat('N', 100) || upper(sequence) ELSE upper(sequence) END AS sequence FROM q JOIN (SELECT doc_id, lang FROM documents) ON doc_id = q.seq_id)"
+
+
+def _joined(spark, sf_dir):
+    d = _dna(spark, sf_dir).join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), "lang"), "seq_id")
+    even, seq = F.col("seq_id") % 2 == 0, F.upper("sequence")
+    name = F.concat(F.lit("r"), F.col("seq_id").cast("string"), F.when(even, "_combined").otherwise(""))
+    return d.select(name.alias("seq_id"), F.col("lang").alias("description"), F.when(even, F.concat(seq, F.repeat(F.lit("N"), F.lit(100)), seq)).otherwise(seq).alias("sequence"))
+
+
+@query("fillers_hidden", f"""WITH {_SEQ_SQL}, {_JOINED_SQL} SELECT seq_id, CASE WHEN doc_id % 2 = 0 AND sequence IS NOT NULL THEN coalesce(description, '') || '50A50C:' || ((length(sequence) - 100) // 2) || ':' || ((length(sequence) - 100) // 2 + 99) ELSE description END AS description,
+replace(sequence, repeat('N', 100), repeat('A', 50) || repeat('C', 50)) AS sequence FROM j""")
+def fillers_hidden(spark, sf_dir):
+    return R.fillers_hidden(_joined(spark, sf_dir))
+
+
+@query("fillers_round_trip", f"WITH {_SEQ_SQL}, {_JOINED_SQL} SELECT seq_id, sequence FROM j")
+def fillers_round_trip(spark, sf_dir):
+    return R.fillers_restored(R.fillers_hidden(_joined(spark, sf_dir))).select("seq_id", "sequence")
+
+
+@query("split_by_filler", f"WITH {_SEQ_SQL}, {_JOINED_SQL} SELECT doc_id % 2 = 0 AND sequence IS NOT NULL AS joined, count(*) AS reads, CAST(sum(length(sequence)) AS BIGINT) AS letters FROM j GROUP BY 1")
+def split_by_filler(spark, sf_dir):
+    whole, joined = R.by_filler(_joined(spark, sf_dir))
+    both = whole.withColumn("joined", F.lit(False)).union(joined.withColumn("joined", F.lit(True)))
+    return both.groupBy("joined").agg(F.count("*").alias("reads"), F.sum(F.length("sequence")).alias("letters"))
+
+
+@query("read_chunks", "SELECT count(*) AS reads, count(DISTINCT doc_id) AS ids FROM documents")
+def read_chunks(spark, sf_dir):
+    parts = R.chunks(_dna(spark, sf_dir), size=100).groupBy("chunk").agg(F.count("*").alias("n"), F.countDistinct("seq_id").alias("ids"))
+    return parts.agg(F.sum("n").alias("reads"), F.sum("ids").alias("ids"))
+
+
+@query("adjusted_length_filter", f"WITH {_SEQ_SQL} SELECT seq_id FROM q WHERE length(sequence) BETWEEN 500 - 14 AND 3000 - 14")
+def adjusted_length_filter(spark, sf_dir):
+    least, most = R.adjusted_bounds(500, 3000, "ACGTACG", "TTGCAAT")
+    return _dna(spark, sf_dir).where(F.length("sequence").between(least, most)).select("seq_id")

@@ -227,3 +227,19 @@ def clean_species(spark, sf_dir):
 def complete_ranks(spark, sf_dir):
     had = F.when(F.col("p_size") > 25, F.array("p_type", "p_brand")).otherwise(F.array("p_type"))
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("obs_id"), F.array_join(T.completed(had, ["domain", "family", "genus"]), ";").alias("lineage"))
+
+
+@query("lowest_shared_rank", """SELECT p_partkey AS obs_id, CASE WHEN p_size < 10 THEN NULL WHEN p_size < 20 THEN 'domain' WHEN p_size < 30 THEN 'family' ELSE 'genus' END AS rank FROM part""")
+def lowest_shared_rank(spark, sf_dir):
+    s, own = F.col("p_size"), F.array("p_type", "p_brand", "p_name")
+    other = F.array(F.when(s < 10, "x").otherwise(F.col("p_type")), F.when(s < 20, "x").otherwise(F.col("p_brand")), F.when(s < 30, "x").otherwise(F.col("p_name")))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("obs_id"), T.lowest_shared(own, other, ["domain", "family", "genus"]).alias("rank"))
+
+
+@query("convert_reference", """SELECT p_partkey AS obs_id, p_type || ';' || CASE WHEN p_size > 25 THEN p_brand ELSE 'unknown family' END || ';unknown genus' AS lineage, replace(replace(p_name, 'U', 'T'), 'u', 't') AS sequence FROM part WHERE p_type LIKE 'S%'""")
+def convert_reference(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    kinds = [r[0] for r in p.where("p_type like 'S%'").select("p_type").distinct().collect()]  # the domains asked for
+    had = F.when(F.col("p_size") > 25, F.array("p_type", "p_brand")).otherwise(F.array("p_type"))
+    out = p.select(F.col("p_partkey").alias("obs_id"), F.array_join(T.converted(had, ["domain", "family", "genus"], kinds), ";").alias("lineage"), T.as_dna(F.col("p_name")).alias("sequence"))
+    return out.where("lineage is not null")

@@ -67,6 +67,19 @@ def read_sequences(spark: SparkSession, path: str) -> DataFrame:
     return read_fasta(spark, path) if sniffed(spark, path) == "fasta" else read_fastq(spark, path)
 
 
+def checked_names(paths: list[str]) -> dict[str, str]:
+    """Sample name to path; names must be told apart and hold no white space."""
+    out: dict[str, str] = {}
+    for p in paths:
+        name = p.rsplit("/", 1)[-1].split(".")[0]
+        if not name or any(c.isspace() for c in name):
+            raise ValueError(f"not a sample's name: {name!r}")
+        if name in out:
+            raise ValueError(f"two files of sample {name}: {out[name]} and {p}")
+        out[name] = p
+    return out
+
+
 def write_fasta(df: DataFrame, path: str) -> None:
     note = F.when(F.col("description").isNotNull(), F.concat(F.lit(" "), "description")).otherwise("") if "description" in df.columns else F.lit("")
     df.select(F.concat(F.lit(">"), "seq_id", note, F.lit("\n"), "sequence").alias("value")).write.mode("overwrite").text(path)

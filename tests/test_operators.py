@@ -124,3 +124,77 @@ def test_enrichment(spark):
     listed = spark.createDataFrame([(f"f{i}",) for i in range(4)], "function string")
     out = {r["pathway"]: r for r in E.enrichment(listed, members).collect()}
     assert abs(out["p"]["p"] - 1 / 210) < 1e-12 and out["p"]["stars"] == "**" and out["q"]["p"] == 1.0
+
+
+def test_fillers(spark):
+    from amplicore.operators import reads as R
+
+    n = "N" * 100
+    rows = [("a_combined", "note ", f"ACG{n}TT"), ("b", None, "ACNT"), ("c_combined", None, "ACGT"), ("d_combined", None, f"{n}A"), ("e", None, None)]
+    df = spark.createDataFrame(rows, "seq_id string, description string, sequence string")
+    hidden = {r["seq_id"]: r for r in R.fillers_hidden(df).collect()}
+    assert hidden["a_combined"]["description"] == "note 50A50C:3:102" and hidden["a_combined"]["sequence"] == "ACG" + "A" * 50 + "C" * 50 + "TT"
+    assert hidden["b"]["sequence"] == "ACNT" and hidden["c_combined"]["sequence"] is None and hidden["d_combined"]["description"] == "50A50C:0:99"
+    back = {r["seq_id"]: (r["description"], r["sequence"]) for r in R.fillers_restored(R.fillers_hidden(df)).collect()}
+    assert back == {i: (d, None if i == "c_combined" else s) for i, d, s in rows}
+    whole, joined = R.by_filler(df)
+    assert {r["seq_id"] for r in joined.collect()} == {"a_combined", "b", "d_combined"} and whole.count() == 2
+    assert R.adjusted_bounds(200, 500, "ACGT", "AC") == (194, 494)
+    assert {r["chunk"] for r in R.chunks(df, n=2).collect()} <= {0, 1} and R.chunks(df, size=2).count() == 5
+
+
+def test_primers_on_either_strand(spark):
+    from amplicore.operators import kernels as K
+
+    five, three, body = "ACGTRYACGT", "GGTTCCAACC", "TTTTGAGAGATTTTCATG" * 3
+    read = "CC" + "ACGTACACGT" + body + "GGTTCCATCC" + "AA"
+    flip = read[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    rows = [(1, read, "I" * len(read)), (2, flip, "I" * len(flip)), (3, body, "I" * len(body)), (4, None, None)]
+    df = spark.createDataFrame(rows, "seq_id long, sequence string, quality string")
+    got = {r["seq_id"]: (r["sequence"], len(r["quality"])) for r in K.trim_either_strand(df, five, three, 40).collect()}
+    assert got == {1: (body, len(body)), 2: (body, len(body))}
+
+
+def test_filters_on_functions_and_trees(spark):
+    import pytest
+
+    from amplicore.functions import taxonomy as T
+    from amplicore.operators import matrix as M
+    from amplicore.operators import sampling as P
+
+    refs = spark.createDataFrame([("a", 0.5, 0.5, 3.0), ("b", 0.99, 1.0, 0.1), ("c", 0.97, 0.99, 2.0), ("d", 0.99, 1.0, None)], "obs_id string, identity double, coverage double, nsti double")
+    got = {r["obs_id"]: (r["parameters"], r["values"]) for r in M.function_failures(refs, 0.97, 0.9, 2.0).collect()}
+    assert got == {"a": ("min_blast_identity,min_blast_coverage,max_nsti", "identity = 0.5,coverage = 0.5,nsti = 3.0")}
+    assert M.function_failures(refs).count() == 0
+    M.check_nsti(refs, 0.1)
+    with pytest.raises(ValueError):
+        M.check_nsti(refs, 0.05)
+    for bad in ("x", -1, 101, None):
+        with pytest.raises(ValueError):
+            T.ratio(bad)
+    assert T.ratio("50") == 50.0
+    lin = spark.createDataFrame([(1, ["A", "Unknown b"]), (2, None), (3, ["A", "B", "C"])], "obs_id long, taxonomy array<string>")
+    assert sorted(r["taxon"] for r in P.ranked_taxa(lin, 2, 3).collect()) == ["a;b;c", "a;unknown;unknown", "unknown;unknown;unknown"]
+
+
+def test_draws_by_definition(spark):
+    """Draws and curves against all reads sorted by their hashes."""
+    import hashlib
+
+    from amplicore.operators import sampling as P
+
+    cells = [("x", "s", 700), ("y", "s", 300), ("z", "s", 1), ("x", "t", 50), ("w", "t", 0)]
+    ab = spark.createDataFrame(cells, "obs_id string, sample_id string, count long")
+    order = {}
+    for o, s, n in cells:
+        order.setdefault(s, []).extend((hashlib.md5(f"{o}|{s}|{i}".encode()).hexdigest(), o) for i in range(1, n + 1))
+    order = {s: [o for _, o in sorted(v)] for s, v in order.items()}
+    for n in (1, 50, 333, 1001):
+        got = {(r["obs_id"], r["sample_id"]): r["count"] for r in P.subsampled(ab, n=n).collect()}
+        want = {}
+        for s, v in order.items():
+            for o in v[:n]:
+                want[o, s] = want.get((o, s), 0) + 1
+        assert got == want
+    got = {(r["sample_id"], r["nb_sampled"]): r["taxa"] for r in P.rarefaction(ab, None, 10).collect()}
+    assert got == {(s, k): len(set(v[:k])) for s, v in order.items() for k in range(10, len(v) + 1, 10)}
