@@ -1,9 +1,12 @@
 """Embedding near-duplicate links (operator 8).
 
-Method: pivot-permutation index. Reference points are a bounded sample of the vectors; every vector is described by its
+Method: pivot-permutation index. Reference points are a bounded sample of the vectors, thinned so that no two are near
+duplicates themselves (else the copies in a large group would each name other references); every vector is described by its
 ``NEAREST`` nearest references in order. Inverted lists hold the vectors of one label by each two references that they name,
 so vectors meet in a list exactly if they share two at least; inside a list cosines are computed in double precision, block
-against block. A pair that meets in several lists counts in the one of its two smallest shared references only.
+against block. References grow with the vectors, so that lists stay as short up to ``SHARE * MOST_PIVOTS`` vectors (262,144);
+beyond, lists grow in proportion. A vector is sent, in its own type, to those of its lists that another vector stands in. A
+pair that meets in several lists counts in the one of its two smallest shared references only.
 
 A list never gives its pairs away: each block pair returns, for each of its vectors, the number linked and the smallest id
 it is tied to there. Equal vectors are one class from the start and count with their number. There is no cap on lists.
@@ -24,12 +27,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amplicore.llm._common import arrow_pass, ship, stored, table, unit_hash
+from amplicore.llm._common import arrow_pass, joined_by_id, ship, stored, table, unit_hash
 from amplicore.llm.components import components
 
 NEAREST, BLOCK, SEED = 6, 1024, 31
-#: Reference points: the square root of the number of vectors, within these.
-LEAST_PIVOTS, MOST_PIVOTS = 64, 4096
+#: Reference points: one of so many vectors, within these numbers; of points closer to each other than APART the first stays.
+SHARE, LEAST_PIVOTS, MOST_PIVOTS, APART = 16, 64, 16_384, 0.9
 
 
 def usable() -> Column:
@@ -38,6 +41,20 @@ def usable() -> Column:
     return F.coalesce(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & finite & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
+def thinned(pivots: np.ndarray) -> np.ndarray:
+    """The points (of length one) that are near none of those before them that stay."""
+    gone = np.zeros(len(pivots), bool)
+    for at in range(0, len(pivots), 512):
+        block = pivots[at : at + 512]
+        before = np.flatnonzero(~gone[:at])
+        for a in range(0, len(before), 4096):
+            gone[at : at + 512] |= (block @ pivots[before[a : a + 4096]].T >= APART).any(1)
+        near = block @ block.T >= APART
+        for i in range(1, len(block)):
+            gone[at + i] |= (near[i, :i] & ~gone[at : at + i]).any()
+    return pivots[~gone]
+
+
 def named_pairs(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     """The nearest references of each vector, as ascending numbers."""
     k = min(NEAREST, len(pivots))
@@ -109,25 +126,33 @@ def near_links(embeddings: DataFrame, threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row of (vec_id, embedding, label)."""
     spark = embeddings.sparkSession
     ship(spark)
-    e = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
+    single = embeddings.schema["embedding"].dataType.simpleString() == "array<float>"
+    e = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"), F.col("label").cast("string"))
     e = e.withColumn("usable", usable())
     e = e.withColumn("dim", F.size("embedding")).withColumn("h1", F.when(F.col("usable"), F.xxhash64("embedding")).otherwise(F.xxhash64("vec_id"))).withColumn("h2", F.xxhash64(F.lit(SEED), "embedding"))
     same = ["label", "dim", "h1", "h2"]
-    good = e.where("usable")
-    classes = good.groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
-    base = stored(e.select("vec_id", "usable", *same).join(classes, same, "left").select("vec_id", F.when(F.col("usable"), F.col("rep")).otherwise(F.col("vec_id")).alias("rep"), F.when(F.col("usable"), F.col("mult")).otherwise(1).alias("mult"), "usable"), "vec-classes")
-    heads = base.where("usable and vec_id = rep").dropDuplicates(["rep"]).select("rep", "mult")
-    reps = stored(good.join(heads, F.col("vec_id") == F.col("rep")).dropDuplicates(["rep"]).select("rep", "mult", "label", "dim", "embedding"), "vectors")
+    # counted before the shuffle; only classes of several members are joined back, so that no task gets the rows of a large one
+    classes = e.where("usable").groupBy(*same).agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult"))
+    classes = stored(classes.where("mult > 1"), "vec-classes")
+    placed = joined_by_id(e, classes, same, "left").withColumn("rep", F.when(F.col("usable"), F.coalesce("rep", "vec_id")).otherwise(F.col("vec_id"))).withColumn("mult", F.when(F.col("usable"), F.coalesce("mult", F.lit(1))).otherwise(1))
+    placed = stored(placed.select("vec_id", "rep", "mult", "usable", "label", "dim", F.when(F.col("usable") & (F.col("vec_id") == F.col("rep")), F.col("embedding")).alias("embedding")), "vectors")
+    base = placed.select("vec_id", "rep", "mult", "usable")
+    reps = placed.where("embedding is not null")
+    twice = stored(reps.groupBy("rep").count().where("count > 1").select("rep"), "twice")  # equal rows, ids and all
+    if not twice.isEmpty():
+        reps = stored(joined_by_id(reps, twice, "rep", "left_anti").union(joined_by_id(reps, twice, "rep", "left_semi").dropDuplicates(["rep"])), "vectors")
+    reps = reps.select("rep", "mult", "label", "dim", "embedding")
     n = reps.count()
     if n == 0:
         return base.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(n**0.5)))
+    wanted = min(MOST_PIVOTS, max(LEAST_PIVOTS, n // SHARE))
     sample = reps.where(unit_hash(F.col("rep"), SEED) < min(1.0, wanted / n)).select("rep", "dim", "embedding").collect()
     pivots: dict[int, np.ndarray] = {}
     for r in sorted(sample):
-        v = np.array(r["embedding"])
+        v = np.array(r["embedding"], float)
         pivots.setdefault(r["dim"], []).append(v / np.sqrt(v @ v))
-    pivots = {d: np.array(v) for d, v in pivots.items() if len(v) > 1}
+    pivots = {d: thinned(np.array(v)) for d, v in pivots.items()}
+    pivots = {d: v for d, v in pivots.items() if len(v) > 1}
     sent = spark.sparkContext.broadcast(pivots)
     width = max([2, *map(len, pivots.values())])
 
@@ -140,7 +165,7 @@ def near_links(embeddings: DataFrame, threshold: float = 0.98) -> DataFrame:
                 for i in at:
                     out["near"][i], out["refs"][i] = [0, 1], [1]
                 continue
-            near = named_pairs(np.array([part["embedding"][i] for i in at]), p)
+            near = named_pairs(np.array([part["embedding"][i] for i in at], float), p)
             a, b = np.triu_indices(near.shape[1], 1)
             refs = near[:, a] * width + near[:, b]
             for i, x, y in zip(at, near.tolist(), refs.tolist(), strict=True):
