@@ -161,11 +161,6 @@ def enrichment(listed: DataFrame, members: DataFrame) -> DataFrame:
     return out.withColumn("stars", F.when(F.col("p_adjusted") < 0.001, "***").when(F.col("p_adjusted") < 0.01, "**").when(F.col("p_adjusted") < 0.05, "*").otherwise("")).select("pathway", "k", "p", "p_adjusted", "stars")
 
 
-def closest_shared_rank(a: Column, b: Column) -> Column:
-    """How many leading names two lineages share."""
-    return F.coalesce(F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False) - 1, F.least(F.size(a), F.size(b)))
-
-
 def ranked_top(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
     w = Window.partitionBy(key).orderBy(F.desc(value))
     return df.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= n).drop("rk")

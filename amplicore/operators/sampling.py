@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 DIGITS = 4
 #: Reads of a cell that one row expands to.
 READS = 1 << 14
+#: Depths of a curve that one row expands to.
+DEPTHS = 1 << 12
 
 
 def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
@@ -91,24 +93,36 @@ def rarefaction(ab: DataFrame, taxa: DataFrame | None, interval: int, seed: str
     return joined.select("sample_id", (F.col("k") * interval).alias("nb_sampled"), F.coalesce(F.sum("n").over(up), F.lit(0)).alias("taxa"))
 
 
-def rarefied_richness(ab: DataFrame, depths: list[int]) -> DataFrame:
-    """sample_id, depth, richness: observations expected in a draw of depth reads, by log-gamma sums; depths beyond a sample's total don't show."""
-    sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all"))
-    rows = ab.join(sums, "sample_id").select("sample_id", "count", "all", F.explode(F.array(*[F.lit(d) for d in depths])).alias("depth")).where("depth <= all")
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """The logarithm of the gamma function for numbers from 1 on: Stirling's series, eight places further on."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    shift = x.copy()
+    for k in range(1, 8):
+        shift = shift * (x + k)
+    return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
+
+
+def rarefied_richness(ab: DataFrame, step: int = 10) -> DataFrame:
+    """sample_id, depth, richness: observations expected in a draw of depth reads, by log-gamma sums; every step reads up to each
+    sample's total, and at the total. Cells of a sample with equal counts are one row, so work is by distinct counts."""
+    cells = ab.where("count > 0").groupBy("sample_id", "count").agg(F.count("*").alias("cells"))
+    sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all")).where(F.col("all") > 0)
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("all") / step), F.lit(DEPTHS).cast("long")))
+    rows = cells.join(sums, "sample_id").withColumn("from", chunk).repartition("sample_id", "from")
+    last = F.least(F.col("from") + DEPTHS - 1, F.floor(F.col("all") / step))
+    rows = rows.withColumn("k", F.explode(F.sequence("from", last))).withColumn("depth", F.when(F.col("k") == 0, F.col("all")).otherwise(F.col("k") * step))
+    rows = rows.where((F.col("k") == 0) | (F.col("depth") < F.col("all")))
 
     @F.pandas_udf("double")
     def seen(count: pd.Series, whole: pd.Series, depth: pd.Series) -> pd.Series:
-        from math import lgamma
-
-        g = np.vectorize(lgamma, otypes=[float])
         n, k, d = whole.to_numpy(float), count.to_numpy(float), depth.to_numpy(float)
         left = n - k
         ok = left >= d
-        with np.errstate(invalid="ignore"):
-            lost = np.exp(g(np.maximum(left, 0) + 1) - g(np.maximum(left - d, 0) + 1) - g(n + 1) + g(n - d + 1))
+        lost = np.exp(log_gamma(np.maximum(left, 0) + 1) - log_gamma(np.maximum(left - d, 0) + 1) - log_gamma(n + 1) + log_gamma(n - d + 1))
         return pd.Series(np.where(ok, 1 - lost, 1.0))
 
-    return rows.groupBy("sample_id", "depth").agg(F.sum(seen("count", "all", "depth")).alias("richness"))
+    return rows.groupBy("sample_id", "depth").agg(F.sum(F.col("cells") * seen("count", "all", "depth")).alias("richness"))
 
 
 def ranked_taxa(lineages: DataFrame, rank: int, deepest: int) -> DataFrame:

@@ -41,10 +41,12 @@ def subsample_ratio(spark, sf_dir):
     return P.subsampled(_small(spark, sf_dir), ratio=0.25)
 
 
-@query("rarefaction_curve", f"""WITH {_SMALL_SQL}, f AS (SELECT sample_id, obs_id, min(r) AS r FROM rk GROUP BY 1, 2), g AS (SELECT sample_id, unnest(generate_series(1, any_value(total) // 5000)) AS k FROM rk GROUP BY 1)
-SELECT g.sample_id, k * 5000 AS nb_sampled, count(f.r) AS taxa FROM g LEFT JOIN f ON f.sample_id = g.sample_id AND f.r <= k * 5000 GROUP BY 1, 2""")
+@query("rarefaction_curve", f"""WITH {_SMALL_SQL}, f AS (SELECT sample_id, obs_id, min(r) AS r FROM rk GROUP BY 1, 2), st AS (SELECT CAST(greatest(1, n // 35) AS BIGINT) AS step FROM (SELECT n, row_number() OVER (ORDER BY n, sample_id) AS r, count(*) OVER () AS k FROM (SELECT sample_id, sum(n) AS n FROM sm GROUP BY 1)) WHERE r = k // 4 + 1),
+g AS (SELECT sample_id, any_value(step) AS step, unnest(generate_series(1, CAST(any_value(total) // any_value(step) AS BIGINT))) AS k FROM rk, st GROUP BY 1)
+SELECT g.sample_id, k * step AS nb_sampled, count(f.r) AS taxa FROM g LEFT JOIN f ON f.sample_id = g.sample_id AND f.r <= k * step GROUP BY 1, 2""")
 def rarefaction_curve(spark, sf_dir):
-    return P.rarefaction(_small(spark, sf_dir), None, 5000)
+    ab = _small(spark, sf_dir)
+    return P.rarefaction(ab, None, P.step_size(ab))
 
 
 @query("rarefaction_ranks", f"""WITH {_SMALL_SQL}, x AS (SELECT obs_id, CASE WHEN obs_id LIKE '%1' THEN 'unknown;unknown' WHEN obs_id LIKE '%2' THEN lower(obs_id) || ';unknown' ELSE lower(obs_id) || ';' || substr(lower(obs_id), 7, 1) END AS taxon FROM (SELECT DISTINCT obs_id FROM sm)),
@@ -64,9 +66,11 @@ def rarefaction_step(spark, sf_dir):
     return spark.createDataFrame([(P.step_size(abundance(spark, sf_dir)),)], "step long")
 
 
-@query("rarefied_richness")
+@query("rarefied_richness", f"""WITH {_SMALL_SQL.split("un AS")[0].rstrip().rstrip(",")}, t AS (SELECT sample_id, sum(n) AS t FROM sm GROUP BY 1), c AS (SELECT sample_id, n, count(*) AS m FROM sm GROUP BY 1, 2),
+d AS (SELECT sample_id, t, CAST(unnest(list_append(generate_series(10, CAST(t - 1 AS BIGINT), 10), CAST(t AS BIGINT))) AS BIGINT) AS depth FROM t)
+SELECT d.sample_id, depth, round(sum(m * CASE WHEN t - n >= depth THEN 1 - exp(lgamma(t - n + 1) - lgamma(t - n - depth + 1) - lgamma(t + 1) + lgamma(t - depth + 1)) ELSE 1 END), 3) AS richness FROM d JOIN c ON c.sample_id = d.sample_id GROUP BY 1, 2""")
 def rarefied_richness(spark, sf_dir):
-    return P.rarefied_richness(_small(spark, sf_dir), [10, 50, 100]).select("sample_id", "depth", F.round("richness", 6).alias("richness"))
+    return P.rarefied_richness(_small(spark, sf_dir)).select("sample_id", "depth", F.round("richness", 3).alias("richness"))
 
 
 @query("alpha_diversity", """WITH c AS (SELECT CAST(user_id AS VARCHAR) AS sample_id, event_type, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2), t AS (SELECT *, sum(n) OVER (PARTITION BY sample_id) AS t FROM c)
@@ -158,10 +162,14 @@ def function_whole_numbers(spark, sf_dir):
     return E.whole_numbers(rows, ["a"])
 
 
-@query("pathway_enrichment")
+@query("pathway_enrichment", """WITH e AS (SELECT DISTINCT p_name AS f, p_brand AS pathway FROM part), l AS (SELECT DISTINCT p_name AS f FROM part WHERE p_size > 40), w AS (SELECT count(DISTINCT f) AS n, count(DISTINCT f) FILTER (f IN (SELECT f FROM l)) AS d FROM e),
+s AS (SELECT pathway, count(DISTINCT f) AS m, count(DISTINCT f) FILTER (f IN (SELECT f FROM l)) AS k FROM e GROUP BY 1), i AS (SELECT pathway, m, k, n, d, unnest(generate_series(k, least(m, d))) AS i FROM s, w WHERE true),
+p AS (SELECT pathway, k, sum(CASE WHEN d - i <= n - m THEN exp(lgamma(m + 1) - lgamma(i + 1) - lgamma(m - i + 1) + lgamma(n - m + 1) - lgamma(d - i + 1) - lgamma(n - m - d + i + 1) - lgamma(n + 1) + lgamma(d + 1) + lgamma(n - d + 1)) ELSE 0 END) AS p FROM i GROUP BY 1, 2),
+a AS (SELECT *, least(p * (SELECT count(*) FROM s), 1.0) AS a FROM p) SELECT pathway, k, round(p, 6) AS p, round(a, 6) AS p_adjusted, CASE WHEN a < 0.001 THEN '***' WHEN a < 0.01 THEN '**' WHEN a < 0.05 THEN '*' ELSE '' END AS stars FROM a""")
 def pathway_enrichment(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    return E.enrichment(p.where("p_size > 40").select(F.col("p_name").alias("function")).distinct(), p.select(F.col("p_name").alias("function"), F.col("p_brand").alias("pathway")).distinct())
+    out = E.enrichment(p.where("p_size > 40").select(F.col("p_name").alias("function")).distinct(), p.select(F.col("p_name").alias("function"), F.col("p_brand").alias("pathway")).distinct())
+    return out.withColumn("p", F.round("p", 6)).withColumn("p_adjusted", F.round("p_adjusted", 6))
 
 
 def _flag(flag: str) -> str:

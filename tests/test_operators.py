@@ -198,3 +198,27 @@ def test_draws_by_definition(spark):
         assert got == want
     got = {(r["sample_id"], r["nb_sampled"]): r["taxa"] for r in P.rarefaction(ab, None, 10).collect()}
     assert got == {(s, k): len(set(v[:k])) for s, v in order.items() for k in range(10, len(v) + 1, 10)}
+
+
+def test_rarefied_richness_and_permanova(spark):
+    from math import comb
+
+    import numpy as np
+
+    from amplicore.operators import kernels as K
+    from amplicore.operators import sampling as P
+
+    cells = {"s": [7, 3, 3, 20], "t": [5]}
+    ab = spark.createDataFrame([(f"{s}{i}", s, n) for s, v in cells.items() for i, n in enumerate(v)], "obs_id string, sample_id string, count long")
+    got = {(r["sample_id"], r["depth"]): r["richness"] for r in P.rarefied_richness(ab).collect()}
+    assert set(got) == {("s", 10), ("s", 20), ("s", 30), ("s", 33), ("t", 5)}
+    for (s, d), r in got.items():
+        whole = sum(cells[s])
+        assert abs(r - sum(1 - comb(whole - n, d) / comb(whole, d) for n in cells[s])) < 1e-9
+    x = np.arange(1.0, 200)
+    from math import lgamma
+
+    assert np.allclose(P.log_gamma(x), [lgamma(v) for v in x], rtol=1e-12, atol=1e-11)
+    points = np.r_[np.zeros(4), np.full(4, 9.0)] + np.arange(8) / 100
+    r = K.permanova(spark, np.abs(points[:, None] - points[None]), ["a"] * 4 + ["b"] * 4, 499).first()
+    assert r["r2"] > 0.99 and r["p"] < 0.1 and K.permanova(spark, np.abs(points[:, None] - points[None]), ["a", "b"] * 4, 499).first()["p"] > 0.5
