@@ -33,8 +33,8 @@ from amplicore.llm.components import components
 BANDS, ROWS, BLOCK = 32, 6, 1024
 #: Signatures that agree in fewer places than this can't reach 0.8 (4.5 standard deviations).
 SIGMAS = 4.5
-#: A centre's pairs are confirmed in so many parts, each with its own copy of the centre.
-PARTS = 64
+#: A centre's pairs are confirmed in so many parts at least, each with its own copy of the centre, and of so many pairs at most.
+PARTS, PART_PAIRS = 64, 50_000
 #: Buckets of so many rows at most are searched pair by pair within their task.
 SMALL = 64
 #: Of larger buckets, rows outside their main component that are sent to all executors, and the words in their texts (32 MB).
@@ -166,7 +166,7 @@ def alike(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 def confirmed(pairs: DataFrame, docs: DataFrame, n_words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Of pairs (a, b) those with 100 * intersection >= percent * union of the full sets of their texts."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
-    part = F.pmod(F.xxhash64("b"), F.lit(PARTS)).alias("part")
+    part = F.pmod(F.xxhash64("b"), F.lit(max(PARTS, -(-pairs.count() // PART_PAIRS)))).alias("part")
     rows = pairs.select("a", part, F.col("b").alias("doc"), F.lit(True).alias("member"))
     rows = rows.union(pairs.select("a", part, F.col("a").alias("doc"), F.lit(False)).distinct())
     ids = stored(rows.select("doc").distinct(), "ids")
@@ -300,14 +300,22 @@ def beside(heads: DataFrame, minor: DataFrame, docs: DataFrame, n_words: int, pe
 
 
 def near_classes(docs: DataFrame, n_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, n_shingles, component_id, kept of each row of docs."""
+    """doc, n_shingles, component_id, kept of each row of docs. Ids are whole numbers (others are an error: number the rows first)."""
+    if docs.schema[id_col].dataType.simpleString() not in ("tinyint", "smallint", "int", "bigint"):
+        raise ValueError(f"{id_col} isn't a whole number")
     ship(docs.sparkSession)
     sigs = stored(signatures(docs, n_words, id_col, text_col), "signatures")
     some = sigs.where("n > 0 and doc is not null")
-    classes = some.groupBy("k1", "k2").agg(F.min("doc").alias("rep"))
-    base = stored(sigs.select("doc", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc")).alias("rep")), "classes")
-    reps = base.where("doc = rep and n > 0").select("doc").distinct()
-    heads = stored(some.join(reps, "doc", "left_semi").dropDuplicates(["doc"]).select("doc", "bands", "sig"), "heads")
+    # counted before the shuffle; only sets of several members are joined back, so that no task gets the rows of a large class
+    classes = stored(some.groupBy("k1", "k2").agg(F.min("doc").alias("rep"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "sets")
+    placed = joined_by_id(sigs, classes, ["k1", "k2"], "left").withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "doc")).otherwise(F.col("doc")))
+    first = (F.col("n") > 0) & (F.col("doc") == F.col("rep"))
+    placed = stored(placed.select("doc", "n", "rep", F.when(first, F.col("bands")).alias("bands"), F.when(first, F.col("sig")).alias("sig")), "classes")
+    base = placed.select("doc", "n", "rep")
+    heads = placed.where("sig is not null").select("doc", "bands", "sig")
+    twice = stored(heads.groupBy("doc").count().where("count > 1").select("doc"), "twice")  # repeated ids
+    if not twice.isEmpty():
+        heads = stored(joined_by_id(heads, twice, "doc", "left_anti").union(joined_by_id(heads, twice, "doc", "left_semi").dropDuplicates(["doc"])), "heads")
     bands = heads.select("doc", F.explode("bands").alias("key"))
     buckets = bands.groupBy("key").agg(F.min("doc").alias("first"), F.count("*").alias("size")).where("size > 1")
     shared = stored(bands.join(buckets, "key").select("key", "doc", "first", "size"), "buckets")
