@@ -95,3 +95,42 @@ def test_toxicity_by_definition(spark):
     empty = docs.where("false")
     assert Z.score(empty, model, [F.col("doc_id")]).count() == 0 and Z.train(empty, labels, "toxic") == 0.5
     assert isinstance(Z.train(docs, labels, "toxic", max_bytes=3000), (Z.Model, float))
+
+
+def test_isotonic_by_definition():
+    """Pools' means from the max-min formula of the best non-decreasing fit."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 12, 80).astype(float)
+    y = (rng.random(80) < x / 12).astype(float)
+    knots, values = Q.isotonic(x, y)
+    xs = np.unique(x)
+    best = [max(min(y[(x >= a) & (x <= b)].mean() for b in xs[xs >= v]) for a in xs[xs <= v]) for v in xs]
+    for v, m in zip(xs, best, strict=True):
+        pool = xs[np.isclose(best, m)]
+        w = np.isin(x, pool).sum()
+        assert abs(np.interp(v, knots, values) - (m * w + 0.5) / (w + 1)) < 1e-9
+
+
+def test_quality_by_definition(spark):
+    """The query's model and scores from one solve over all rows in this process."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    texts = [good(rng, rng.randrange(3, 80)) if i % 2 else good(rng, rng.randrange(3, 80)).upper() + "!!" for i in range(200)]
+    docs = spark.createDataFrame([(i, t, "x", 3.0) for i, t in enumerate(texts)], "doc_id long, text string, stats string, score double").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    model = Q.train(docs, labels, "quality")
+    stats = np.array([Q.statistics(t) for t in texts])
+    folds = {r["doc_id"]: r["f"] for r in docs.select("doc_id", Q.unit_hash(F.col("doc_id"), Q.SEED + 1).alias("f")).collect()}
+    fold, y = np.array([folds[i] for i in range(200)]), np.arange(200) % 2.0
+    assert np.allclose(model.mean, stats.mean(0)) and np.allclose(model.scale, stats.std(0) + 1e-3, atol=1e-6)
+    z = model.features(stats[fold >= 0.3])
+    width = z.shape[1]
+    weights = np.linalg.lstsq(np.vstack([z, 0.1 * np.eye(width)]), np.r_[y[fold >= 0.3], np.zeros(width)], rcond=None)[0]
+    assert np.allclose(z @ weights, z @ model.weights, atol=1e-6)
+    knots, values = Q.isotonic(model.raw(stats[fold < 0.3]), y[fold < 0.3])
+    assert np.allclose(knots, model.knots) and np.allclose(values, model.values)
+    got = {r["doc_id"]: r["score"] for r in Q.score(docs, model, [F.col("doc_id")]).collect()}
+    want = np.clip(np.interp(model.features(stats) @ model.weights, knots, values), 0, 1)
+    assert np.allclose([got[i] for i in range(200)], want)
+    assert Q.score(docs.where("false"), model, [F.col("doc_id")]).count() == 0

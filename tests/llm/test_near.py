@@ -95,3 +95,14 @@ def test_vectors(spark, block, monkeypatch):
     assert found == len(links)
     assert [got[i]["component_id"] for i in range(len(rows))] == closed(len(rows), links)
     assert got[n + 6]["n_links"] == 1 and all(got[n + k]["n_links"] == 0 for k in (0, 1, 2, 3, 4, 5, 8))
+
+
+def test_awkward_tables(spark):
+    e = spark.createDataFrame([(1, [1.0, 0.0], 1, 9, "x"), (1, [1.0, 0.0], 1, 9, "x"), (None, [1.0, 0.0], 1, 9, "x"), (2, [1.0, 0.01], 1, 9, "x")], "vec_id long, embedding array<float>, label int, rep int, list string")
+    got = sorted((str(r["vec_id"]), r["n_links"], r["component_id"], r["kept"]) for r in V.near_links(e).collect())
+    assert got == [("1", 2, 1, True), ("1", 2, 1, True), ("2", 2, 1, False), ("None", 0, None, True)]
+    assert V.near_links(e.where("false")).count() == 0
+    d = spark.createDataFrame([(3, "a b c d e f", 1, "x"), (3, "a b c d e f", 1, "x"), (3, "u v w x y z", 1, "x"), (5, "a b c d e f", 1, "x")], "doc_id int, text string, n int, rep string")
+    assert sorted(r["component_id"] for r in M.near_classes(d).collect()) == [3, 3, 3, 3]
+    with pytest.raises(ValueError):
+        M.near_classes(d.selectExpr("string(doc_id) doc_id", "text"))
