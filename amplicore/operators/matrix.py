@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from amplicore.operators.numbering import numbered
+
 
 #: Depths of a histogram that one row expands to.
 DEPTHS = 1 << 16
@@ -115,8 +117,7 @@ def intersections(failed: DataFrame) -> DataFrame:
 
 def exclusion_table(failed: DataFrame, names: list[str]) -> DataFrame:
     """row and a column for each filter: its k-th excluded observation stands in row k."""
-    numbered = failed.withColumn("row", F.row_number().over(Window.partitionBy("filter").orderBy("obs_id")).cast("long"))
-    return numbered.groupBy("row").pivot("filter", names).agg(F.first("obs_id"))
+    return numbered(failed.select("filter", "obs_id"), [F.asc("obs_id")], "row", ["filter"]).groupBy("row").pivot("filter", names).agg(F.first("obs_id"))
 
 
 def funnel(ab: DataFrame, removed: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amplicore.operators.numbering import numbered
 from amplicore.functions import sequences as S
 
 
@@ -85,8 +86,8 @@ def split_samples(heads: DataFrame, counts: DataFrame) -> DataFrame:
 
 def renamed_by_size(heads: DataFrame, prefix: str = "Cluster_") -> DataFrame:
     """cluster, seq_id, size: numbered from the largest, ties by id downwards."""
-    w = Window.orderBy(F.desc("size"), F.desc("seq_id"))
-    return heads.withColumn("cluster", F.concat(F.lit(prefix), F.row_number().over(w).cast("string"))).select("cluster", "seq_id", "size")
+    placed = numbered(heads.select("seq_id", "size"), [F.desc("size"), F.desc("seq_id")], "place")
+    return placed.select(F.concat(F.lit(prefix), F.col("place").cast("string")).alias("cluster"), "seq_id", "size")
 
 
 def length_histogram(reads: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from amplicore.operators.numbering import numbered
 from amplicore.functions import taxonomy as T
 
 
@@ -173,13 +174,13 @@ def rdp_triples(fields: Column) -> Column:
 
 
 def training_nodes(lineages: DataFrame) -> DataFrame:
-    """id, name, parent, depth, rank order of a reference's taxonomy: every prefix is a node, numbered by where it is first seen.
+    """id, name, parent, depth of a reference's taxonomy: every prefix is a node, numbered by where it is first seen.
 
-    The driver gets nothing; numbers come from one sort of the distinct prefixes, which are as many as taxa.
+    The driver gets nothing; numbers come from a sort by ranges of the distinct prefixes, which are as many as taxa.
     """
     prefixes = lineages.select("ord", F.posexplode(T.ancestors(F.transform("taxonomy", lambda x: T.unaccented(x)))).alias("pos", "node"))
     seen = prefixes.groupBy(F.array_join("node", ";").alias("path")).agg(F.min(F.struct("ord", "pos")).alias("at"), F.first("node").alias("node"))
-    numbered = seen.withColumn("id", F.row_number().over(Window.orderBy("at.ord", "at.pos")).cast("long"))
-    up = numbered.select(F.col("path").alias("up"), F.col("id").alias("up_id"))
+    nodes = numbered(seen.select("path", "node", "at.ord", "at.pos"), [F.asc("ord"), F.asc("pos")], "id")
+    up = nodes.select(F.col("path").alias("up"), F.col("id").alias("up_id"))
     parent = F.array_join(F.slice("node", 1, F.size("node") - 1), ";")
-    return numbered.join(up, parent == F.col("up"), "left").select("id", F.element_at("node", -1).alias("name"), F.coalesce("up_id", F.lit(0)).alias("parent"), F.size("node").cast("long").alias("depth"))
+    return nodes.join(up, parent == F.col("up"), "left").select("id", F.element_at("node", -1).alias("name"), F.coalesce("up_id", F.lit(0)).alias("parent"), F.size("node").cast("long").alias("depth"))

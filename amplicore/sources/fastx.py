@@ -26,7 +26,8 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """seq_id, description, sequence, quality, sample_id of records of four lines, file by file in one streaming pass."""
+    """seq_id, description, sequence, quality, sample_id of records of four lines, file by file: a task holds a file's bytes (2 GB at most, so
+    larger files are to be cut at records first), and reads its records from there."""
     whole = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def records(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

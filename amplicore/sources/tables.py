@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amplicore.operators.numbering import numbered
 from amplicore.functions.taxonomy import reference_lineage
 from amplicore.operators.taxonomy import rdp_triples
 from amplicore.sources.fastx import read_fasta
@@ -98,8 +99,7 @@ def read_dimension(spark: SparkSession, path: str, names: list[str]) -> DataFram
 
 def composition(spark: SparkSession, path: str) -> DataFrame:
     """cluster_ord, ord, seq_id of a cluster file: a line is a cluster, its first member the seed."""
-    from pyspark.sql import Window
-
-    rows = spark.read.text(path).where(F.trim("value") != "").withColumn("at", F.monotonically_increasing_id())
-    rows = rows.withColumn("cluster_ord", F.row_number().over(Window.orderBy("at")))
+    rows = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")).where(F.trim("value") != "")
+    # lines of a block of a file follow each other in a task, and blocks are told by where they begin
+    rows = numbered(rows, [F.asc("file_path"), F.asc("file_block_start"), F.asc("at")], "cluster_ord")
     return rows.select("cluster_ord", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("ord", "member")).select("cluster_ord", "ord", F.regexp_replace("member", r"_[0-9]+$", "").alias("seq_id"))
