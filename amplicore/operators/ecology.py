@@ -84,6 +84,47 @@ def anova(values: DataFrame, group: str, value: str) -> DataFrame:
     return t.select((F.col("k") - 1).alias("df_between"), (F.col("n") - F.col("k")).alias("df_within"), F.round((between / (F.col("k") - 1)) / (within / (F.col("n") - F.col("k"))), 6).alias("f"))
 
 
+def f_tail(f: float, one: int, two: int) -> float:
+    """The chance of a larger F with so many degrees of freedom: the incomplete beta function by its continued fraction."""
+    from math import exp, lgamma, log
+
+    if not f > 0 or one < 1 or two < 1:
+        return 1.0
+
+    def part(a: float, b: float, x: float) -> float:
+        front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1 - x)) / a
+        c, d = 1.0, 1 / (1 - (a + b) * x / (a + 1))
+        out = d
+        for m in range(1, 500):
+            for n in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1 / (1 + n * d), 1 + n / c
+                out *= c * d
+            if abs(c * d - 1) < 1e-14:
+                break
+        return front * out
+
+    a, b, x = two / 2, one / 2, two / (two + one * f)
+    return part(a, b, x) if x < (a + 1) / (a + b + 2) else 1 - part(b, a, 1 - x)
+
+
+def anova_depth(values: DataFrame, group: str, value: str, depth: str) -> DataFrame:
+    """df_group, df_within, f_depth, p_depth, f_group, p_group of value by depth first (a number) and then by group, from sums by
+    group. Rows without value or depth don't count."""
+    x, y = F.col(depth).cast("double"), F.col(value).cast("double")
+    own = {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "xy": x * y, "yy": y * y}
+    g = values.where(x.isNotNull() & y.isNotNull()).groupBy(group).agg(*[F.sum(c).alias(n) for n, c in own.items()])
+    c = F.col
+    inner = {f"w{a}{b}": F.sum(c(a + b) - c(a) * c(b) / c("n")) for a, b in ("xx", "xy", "yy")}
+    t = g.agg(F.count("*").alias("k"), *[F.sum(n).alias(n) for n in own], *[v.alias(n) for n, v in inner.items()])
+    for a, b in ("xx", "xy", "yy"):
+        t = t.withColumn(f"s{a}{b}", c(a + b) - c(a) * c(b) / c("n"))
+    full, by_depth = c("wyy") - c("wxy") * c("wxy") / c("wxx"), c("syy") - c("sxy") * c("sxy") / c("sxx")
+    one, two = (c("k") - 1).cast("long"), (c("n") - c("k") - 1).cast("long")
+    f = t.select(one.alias("df_group"), two.alias("df_within"), ((c("syy") - by_depth) / (full / two)).alias("f_depth"), (((by_depth - full) / one) / (full / two)).alias("f_group"))
+    tail = F.udf(lambda f, a, b: None if f is None else f_tail(f, a, b), "double")  # one row
+    return f.select("df_group", "df_within", "f_depth", tail("f_depth", F.lit(1), "df_within").alias("p_depth"), "f_group", tail("f_group", "df_group", "df_within").alias("p_group"))
+
+
 def composition(ab: DataFrame, taxa: DataFrame, n: int) -> DataFrame:
     """sample_id, taxon, count: the n largest taxa overall, the others as Other. taxa: obs_id, taxon."""
     own = ab.join(taxa, "obs_id").groupBy("sample_id", "taxon").agg(F.sum("count").alias("count"))

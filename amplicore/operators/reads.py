@@ -143,9 +143,11 @@ def demultiplex_summary(assigned: DataFrame, barcodes: DataFrame) -> DataFrame:
 
 
 def cut_barcode(assigned: DataFrame, length: int, extra: int = 0) -> DataFrame:
-    """Matched reads without their barcode (and extra letters after it); others as they are."""
+    """Matched reads without their barcode (and extra letters after it), their quality alike; others as they are."""
     matched = ~F.col("barcode").isin("unmatched", "ambiguous")
-    return assigned.withColumn("sequence", F.when(matched, F.substr("sequence", F.lit(length + extra + 1))).otherwise(F.col("sequence")))
+    for c in [c for c in ("sequence", "quality") if c in assigned.columns]:
+        assigned = assigned.withColumn(c, F.when(matched, F.substr(c, F.lit(length + extra + 1))).otherwise(F.col(c)))
+    return assigned
 
 
 def rad_label(assigned: DataFrame, tag: str) -> DataFrame:

@@ -121,6 +121,15 @@ def anova_measure(spark, sf_dir):
     return E.anova(table(spark, sf_dir, "supplier").select((F.col("s_nationkey") % 5).alias("k"), "s_acctbal"), "k", "s_acctbal")
 
 
+@query("anova_depth", """WITH g AS (SELECT s_nationkey % 5 AS k, count(*)::DOUBLE AS n, sum(s_suppkey)::DOUBLE AS x, sum(s_acctbal) AS y, sum(s_suppkey::DOUBLE * s_suppkey) AS xx, sum(s_suppkey * s_acctbal) AS xy, sum(s_acctbal * s_acctbal) AS yy FROM supplier GROUP BY 1),
+t AS (SELECT count(*) AS k, sum(n) AS n, sum(xx) - sum(x) * sum(x) / sum(n) AS sxx, sum(xy) - sum(x) * sum(y) / sum(n) AS sxy, sum(yy) - sum(y) * sum(y) / sum(n) AS syy, sum(xx - x * x / n) AS wxx, sum(xy - x * y / n) AS wxy, sum(yy - y * y / n) AS wyy FROM g),
+r AS (SELECT *, wyy - wxy * wxy / wxx AS f, syy - sxy * sxy / sxx AS d FROM t)
+SELECT k - 1 AS df_group, CAST(n - k - 1 AS BIGINT) AS df_within, round((syy - d) / (f / (n - k - 1)), 4) AS f_depth, round(((d - f) / (k - 1)) / (f / (n - k - 1)), 4) AS f_group FROM r""")
+def anova_depth(spark, sf_dir):
+    out = E.anova_depth(table(spark, sf_dir, "supplier").select((F.col("s_nationkey") % 5).alias("k"), "s_acctbal", "s_suppkey"), "k", "s_acctbal", "s_suppkey")
+    return out.select("df_group", "df_within", F.round("f_depth", 4).alias("f_depth"), F.round("f_group", 4).alias("f_group"))
+
+
 @query("size_factors", f"""WITH {AB_SQL}, m AS (SELECT obs_id, sum(ln(n)) / (SELECT count(DISTINCT sample_id) FROM ab) AS m FROM ab GROUP BY 1), d AS (SELECT sample_id, quantile_cont(ln(n) - m, 0.5) AS l FROM ab JOIN m USING (obs_id) GROUP BY 1)
 SELECT sample_id, round(exp(l - (SELECT avg(l) FROM d)), 6) AS factor FROM d""")
 def size_factors(spark, sf_dir):

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amplicore.storage import ship
+
 
 def sample_name() -> Column:
     """A file's sample: its name up to the first point."""
@@ -25,34 +28,64 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(*_named(F.regexp_replace(F.regexp_extract("value", r"^([^\n]*)", 1), "\r", "")), body.alias("sequence"), "sample_id")
 
 
+_FASTQ = ["seq_id", "description", "sequence", "quality", "sample_id"]
+
+
+def _records(file: str, content: bytes) -> Iterator[tuple]:
+    """Rows of a FASTQ file's bytes, plain or gzipped."""
+    import gzip
+    import io
+
+    raw = io.BytesIO(content)
+    text = io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw, "utf-8")
+    sample = file.rsplit("/", 1)[-1].split(".")[0]
+    while head := text.readline():
+        if not head.strip():
+            continue
+        seq, plus, qual = text.readline().strip(), text.readline(), text.readline().rstrip("\r\n")
+        if head[0] != "@" or plus[:1] != "+" or len(seq) != len(qual):
+            raise ValueError(f"{file}: a record isn't FASTQ: {head.strip()}")
+        name, _, note = head[1:].strip().partition(" ")
+        yield name, note or None, seq, qual, sample
+
+
+def _frames(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+    while part := list(islice(rows, 10_000)):
+        yield pd.DataFrame(part, columns=_FASTQ)
+
+
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """seq_id, description, sequence, quality, sample_id of records of four lines, file by file: a task holds a file's bytes (2 GB at most, so
-    larger files are to be cut at records first), and reads its records from there."""
+    """seq_id, description, sequence, quality, sample_id of records of four lines, file by file: a task holds a file's bytes (2 GB
+    at most, so larger files are to be cut at records first), and reads its records from there."""
+    ship(spark)
+    whole = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for file, content in zip(p["path"], p["content"], strict=True):
+                yield from _frames(_records(file, content))
+
+    return whole.mapInPandas(run, "seq_id string, description string, sequence string, quality string, sample_id string")
+
+
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The reads of all FASTQ files in tar archives of samples, as read_fastq gives them; a member's name tells its sample."""
     whole = spark.read.format("binaryFile").load(path).select("path", "content")
 
-    def records(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
+        import tarfile
 
         for p in parts:
             for file, content in zip(p["path"], p["content"], strict=True):
-                raw = io.BytesIO(content)
-                text = io.TextIOWrapper(gzip.GzipFile(fileobj=raw) if content[:2] == b"\x1f\x8b" else raw, "utf-8")
-                rows: list[tuple] = []
-                while head := text.readline():
-                    if not head.strip():
-                        continue
-                    seq, plus, qual = text.readline().strip(), text.readline(), text.readline().rstrip("\r\n")
-                    if head[0] != "@" or plus[:1] != "+" or len(seq) != len(qual):
-                        raise ValueError(f"{file}: a record isn't FASTQ: {head.strip()}")
-                    name, _, note = head[1:].strip().partition(" ")
-                    rows.append((name, note or None, seq, qual, file.rsplit("/", 1)[-1].split(".")[0]))
-                    if len(rows) == 10_000:
-                        yield pd.DataFrame(rows, columns=["seq_id", "description", "sequence", "quality", "sample_id"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=["seq_id", "description", "sequence", "quality", "sample_id"])
-
-    return whole.mapInPandas(records, "seq_id string, description string, sequence string, quality string, sample_id string")
+                with tarfile.open(fileobj=io.BytesIO(content)) as t:
+                    for m in t:
+                        if not m.isfile() or "/" in m.name.removeprefix("./"):
+                            raise ValueError(f"{file}: an archive of samples holds files only")
+                        yield from _frames(_records(m.name, t.extractfile(m).read()))
+
+    ship(spark)
+    return whole.mapInPandas(run, "seq_id string, description string, sequence string, quality string, sample_id string")
 
 
 def sniffed(spark: SparkSession, path: str) -> str:

@@ -222,3 +222,35 @@ def test_rarefied_richness_and_permanova(spark):
     points = np.r_[np.zeros(4), np.full(4, 9.0)] + np.arange(8) / 100
     r = K.permanova(spark, np.abs(points[:, None] - points[None]), ["a"] * 4 + ["b"] * 4, 499).first()
     assert r["r2"] > 0.99 and r["p"] < 0.1 and K.permanova(spark, np.abs(points[:, None] - points[None]), ["a", "b"] * 4, 499).first()["p"] > 0.5
+
+
+def test_variance_with_depth(spark):
+    """Against least squares of the two nested models, and the F distribution by its integral."""
+    from math import lgamma
+
+    import numpy as np
+
+    from amplicore.operators import ecology as E
+
+    rng = np.random.default_rng(3)
+    g, x = np.arange(40) % 4, rng.integers(100, 999, 40).astype(float)
+    y = 0.01 * x + g + rng.normal(size=40)
+    rows = spark.createDataFrame([(int(a), float(b), float(c)) for a, b, c in zip(g, x, y, strict=True)] + [(1, None, 2.0)], "g int, x double, y double")
+    r = E.anova_depth(rows, "g", "y", "x").first()
+
+    def rest(columns):
+        m = np.column_stack(columns)
+        return float(((y - m @ np.linalg.lstsq(m, y, rcond=None)[0]) ** 2).sum())
+
+    none, depth, full = rest([np.ones(40)]), rest([np.ones(40), x]), rest([x, *[(g == k).astype(float) for k in range(4)]])
+    assert (r["df_group"], r["df_within"]) == (3, 35)
+    assert np.isclose(r["f_depth"], (none - depth) / (full / 35)) and np.isclose(r["f_group"], ((depth - full) / 3) / (full / 35))
+
+    def tail(f, a, b):
+        u = (np.arange(400_000) + 0.5) / 400_000 * (b / (b + a * f))  # the beta density below x
+        density = np.exp(lgamma((a + b) / 2) - lgamma(a / 2) - lgamma(b / 2) + (b / 2 - 1) * np.log(u) + (a / 2 - 1) * np.log1p(-u))
+        return float(density.mean() * (b / (b + a * f)))
+
+    for f, a, b in ((0.5, 3, 35), (2.9, 3, 35), (8.0, 4, 10), (1.0, 2, 7)):
+        assert abs(E.f_tail(f, a, b) - tail(f, a, b)) < 1e-6
+    assert np.isclose(r["p_group"], E.f_tail(r["f_group"], 3, 35))

@@ -73,7 +73,7 @@ def test_fasta_and_fastq(spark, tmp_path):
     assert {r["seq_id"] for r in fastx.read_fasta(spark, str(tmp_path / "f")).collect()} == {"a", "b"}
 
 
-def test_sample_files(tmp_path):
+def test_sample_files(spark, tmp_path):
     assert fastx.paired_files(["s_R1.fq", "s_R2.fq", "t_r1.fastq.gz", "t_r2.fastq.gz"]) == {"s": ("s_R1.fq", "s_R2.fq"), "t": ("t_r1.fastq.gz", "t_r2.fastq.gz")}
     with pytest.raises(ValueError):
         fastx.paired_files(["s_R1.fq"])
@@ -81,6 +81,15 @@ def test_sample_files(tmp_path):
     with tarfile.open(tmp_path / "a.tar", "w") as t:
         t.add(tmp_path / "a.fq", "a.fq")
     assert fastx.archive_members(str(tmp_path / "a.tar")) == ["a.fq"]
+    (tmp_path / "b.fq").write_text("@r1 note\nACGT\n+\nIIII\n@r2\nA\n+\nI\n")
+    with tarfile.open(tmp_path / "c.tar.gz", "w:gz") as t:
+        t.add(tmp_path / "a.fq", "a.fq")
+        t.add(tmp_path / "b.fq", "b.fq")
+    assert sorted(map(tuple, fastx.read_archive(spark, str(tmp_path / "c.tar.gz")).collect())) == [("r1", "note", "ACGT", "IIII", "b"), ("r2", None, "A", "I", "b")]
+    assert fastx.checked_names(["/x/s1.fq", "s2.fq.gz"]) == {"s1": "/x/s1.fq", "s2": "s2.fq.gz"}
+    for bad in (["a/s1.fq", "b/s1.fq"], ["s 1.fq"], [".fq"]):
+        with pytest.raises(ValueError):
+            fastx.checked_names(bad)
 
 
 def test_tables(spark, tmp_path):
