@@ -46,7 +46,8 @@ def targets(sizes: Sequence[int], weights: Sequence[float], total: float, most:
         for i in over:
             out[i] = float(most * sizes[i])
             left -= out[i]
-        free = [i for i in free if i not in set(over)]
+        gone = set(over)
+        free = [i for i in free if i not in gone]
     return out
 
 
