@@ -30,7 +30,7 @@ def depth_histogram(ab: DataFrame) -> DataFrame:
     counts = ab.groupBy("obs_id").agg(F.sum("count").alias("depth")).where("depth > 0").groupBy("depth").agg(F.count("*").alias("n"))
     whole = counts.agg(F.max("depth").alias("most"), F.sum("n").alias("all"))
     blocks = whole.where("most is not null").select(F.explode(F.sequence(F.lit(1).cast("long"), "most", F.lit(DEPTHS).cast("long"))).alias("from"), "most", "all")
-    depths = blocks.repartition("from").select(F.explode(F.sequence("from", F.least("most", F.col("from") + DEPTHS - 1))).alias("depth"), "all")
+    depths = blocks.repartition(ab.sparkSession.sparkContext.defaultParallelism, "from").select(F.explode(F.sequence("from", F.least("most", F.col("from") + DEPTHS - 1))).alias("depth"), "all")
     out = depths.join(counts, "depth", "left").withColumn("nb_observ", F.coalesce("n", F.lit(0)))
     return out.select("depth", "nb_observ", F.round(100 * F.col("nb_observ") / F.col("all"), 3).alias("pct"))
 

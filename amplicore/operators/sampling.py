@@ -26,7 +26,8 @@ def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
     """obs_id, sample_id, h, part: a row for each read with its hash."""
     key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.col("i").cast("string"), *([F.lit(seed)] if seed else []))
     reads = ab.where("count > 0").withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))))
-    reads = reads.repartition("obs_id", "sample_id", "from")  # a large cell's reads are made by many tasks
+    # a large cell's reads are made by many tasks; with a number, as few rows would else be put into one task
+    reads = reads.repartition(4 * ab.sparkSession.sparkContext.defaultParallelism, "obs_id", "sample_id", "from")
     reads = reads.select("obs_id", "sample_id", F.explode(F.sequence("from", F.least("count", F.col("from") + READS - 1))).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
     return reads.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
 
@@ -109,7 +110,7 @@ def rarefied_richness(ab: DataFrame, step: int = 10) -> DataFrame:
     cells = ab.where("count > 0").groupBy("sample_id", "count").agg(F.count("*").alias("cells"))
     sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all")).where(F.col("all") > 0)
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor(F.col("all") / step), F.lit(DEPTHS).cast("long")))
-    rows = cells.join(sums, "sample_id").withColumn("from", chunk).repartition("sample_id", "from")
+    rows = cells.join(sums, "sample_id").withColumn("from", chunk).repartition(4 * ab.sparkSession.sparkContext.defaultParallelism, "sample_id", "from")
     last = F.least(F.col("from") + DEPTHS - 1, F.floor(F.col("all") / step))
     rows = rows.withColumn("k", F.explode(F.sequence("from", last))).withColumn("depth", F.when(F.col("k") == 0, F.col("all")).otherwise(F.col("k") * step))
     rows = rows.where((F.col("k") == 0) | (F.col("depth") < F.col("all")))
