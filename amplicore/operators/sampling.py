@@ -2,47 +2,129 @@
 
 A draw without replacement of n reads from a sample is the n smallest of its reads by a stable hash of (observation,
 sample, place, seed): the same on every run, in any partitioning. Hashes are made for each read, so work is as the number of
-reads, but they are only counted, by the first ``DIGITS`` hexadecimal digits; nothing is sorted but the reads of the one
-part of a sample's hashes in which the draw ends (for rarefaction: in which a taxon's first read stands).
+reads, but reads are no rows: a task makes the hashes of a piece of a cell as numbers and hands on counts only. A draw counts
+them by their first ``DIGITS`` hexadecimal digits, and hands on the reads of the one part of a sample in which it ends; a
+curve counts them between the first reads of taxa.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from amplicore.operators.digests import as_bytes, numbered_md5
+from amplicore.storage import ship, stored
 
 #: Digits of a hash that say its part: 16 to the power of it are the parts of a sample.
-DIGITS = 4
-#: Reads of a cell that one row expands to.
+DIGITS = 3
+#: Reads of a cell in one piece.
 READS = 1 << 14
+#: Samples whose counts a task holds at once.
+SAMPLES = 1 << 10
 #: Depths of a curve that one row expands to.
 DEPTHS = 1 << 12
 
 
-def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
-    """obs_id, sample_id, h, part: a row for each read with its hash."""
-    key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.col("i").cast("string"), *([F.lit(seed)] if seed else []))
-    reads = ab.where("count > 0").withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))))
-    # a large cell's reads are made by many tasks; with a number, as few rows would else be put into one task
-    reads = reads.repartition(4 * ab.sparkSession.sparkContext.defaultParallelism, "obs_id", "sample_id", "from")
-    reads = reads.select("obs_id", "sample_id", F.explode(F.sequence("from", F.least("count", F.col("from") + READS - 1))).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
-    return reads.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
+def _pieces(ab: DataFrame) -> DataFrame:
+    """ab's cells in pieces of READS reads at most: their key, first and last read."""
+    key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.lit("")).cast("binary").alias("key")
+    start = F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))).alias("start")
+    return ab.select("*", key, start).withColumn("stop", F.least("count", F.col("start") + READS - 1)).drop("count")
 
 
-def _below(reads: DataFrame) -> DataFrame:
-    """sample_id, part, n, below: reads in each part of a sample's hashes, and in those before it."""
-    n = reads.groupBy("sample_id", "part").agg(F.count("*").alias("n"))
-    return n.withColumn("below", F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+def _dealt(pieces: DataFrame) -> DataFrame:
+    """Pieces in as many tasks as are of use; a large cell's are in many, and with a number, as few rows would else be put into one."""
+    return pieces.repartition(4 * pieces.sparkSession.sparkContext.defaultParallelism, "obs_id", "sample_id", "start").sortWithinPartitions("sample_id")
+
+
+def _hashes(batch: pa.RecordBatch, seed: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The hashes of a batch's pieces, some at a time: each read's row, and the halves of its hash."""
+    start, stop = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("start", "stop"))
+    return numbered_md5(batch.column("key").to_pylist(), start, stop, f"|{seed}".encode() if seed else b"")
+
+
+def _mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+    """run over df's batches; it makes columns."""
+    ship(df.sparkSession)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = schema.format(obs=kinds["obs_id"], sample=kinds["sample_id"])
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for columns in run(found):
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return df.mapInArrow(batches, schema)
+
+
+def _same(column: pa.Array) -> np.ndarray:
+    """Numbers that are equal where values are."""
+    return column.dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+
+
+def _by_part(pieces: DataFrame, seed: str) -> DataFrame:
+    """sample_id, part, n: reads in each part of a sample's hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held: dict = {}
+        kind = None
+
+        def counts() -> dict:
+            values, table = list(held), np.stack(list(held.values()))
+            of, part = np.nonzero(table)
+            return {"sample_id": pa.array(values, kind).take(pa.array(of)), "part": pa.array(part.astype(np.int32)), "n": pa.array(table[of, part])}
+
+        for batch in batches:
+            sample, kind = batch.column("sample_id"), batch.column("sample_id").type
+            code = _same(sample)
+            for row, first, _ in _hashes(batch, seed):
+                part = (first >> np.uint64(64 - 4 * DIGITS)).astype(np.int64)
+                own = code[row]
+                edges = [0, *(np.flatnonzero(own[1:] != own[:-1]) + 1).tolist(), len(own)]
+                for a, b in zip(edges, edges[1:], strict=False):
+                    if (value := sample[row[a]].as_py()) not in held and len(held) == SAMPLES:
+                        yield counts()
+                        held.clear()
+                    held[value] = held.get(value, 0) + np.bincount(part[a:b], minlength=16**DIGITS)
+        if held:
+            yield counts()
+
+    return _mapped(_dealt(pieces), run, "sample_id {sample}, part int, n long").groupBy("sample_id", "part").agg(F.sum("n").alias("n"))
+
+
+def _kept(pieces: DataFrame, seed: str) -> DataFrame:
+    """obs_id, sample_id, rest, h, n: reads in parts before the last one (h null), and each read in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            last = batch.column("last").to_numpy(zero_copy_only=False)
+            sure = np.zeros(len(last), np.int64)
+
+            def columns(rows: np.ndarray, h: list, n: np.ndarray, batch: pa.RecordBatch = batch) -> dict:
+                return {c: batch.column(c).take(pa.array(rows)) for c in ("obs_id", "sample_id", "rest")} | {"h": pa.array(h, pa.binary()), "n": pa.array(n)}
+
+            for row, first, second in _hashes(batch, seed):
+                part = (first >> np.uint64(64 - 4 * DIGITS)).astype(np.int64)
+                sure += np.bincount(row[part < last[row]], minlength=len(last))
+                end = np.flatnonzero(part == last[row])
+                if len(end):
+                    yield columns(row[end], as_bytes(first[end], second[end]), np.ones(len(end), np.int64))
+            rows = np.flatnonzero(sure)
+            yield columns(rows, [None] * len(rows), sure[rows])
+
+    return _mapped(_dealt(pieces), run, "obs_id {obs}, sample_id {sample}, rest long, h binary, n long")
 
 
 def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None, drop_small: bool = False, seed: str = "") -> DataFrame:
     """obs_id, sample_id, count of n reads of each sample: a number, a share of the sample (down to a whole), or the smallest sample's total.
 
-    Samples with fewer reads stay whole, or go with drop_small.
+    Samples with fewer reads stay whole, or go with drop_small. Samples without reads don't count.
     """
+    ab = stored(ab.where("count > 0").select("obs_id", "sample_id", F.col("count").cast("long").alias("count")), "cells")
     sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all"))
     if ratio is not None:
         goal: Column = F.floor(F.col("all") * ratio)
@@ -53,13 +135,16 @@ def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None,
     sums = sums.withColumn("goal", goal)
     if drop_small:
         sums = sums.where("all >= goal")
-    reads = unit_reads(ab, seed)
-    last = _below(reads).join(sums, "sample_id").where("below < goal and below + n >= goal").select("sample_id", F.col("part").alias("last"), (F.col("goal") - F.col("below")).alias("rest"))
-    whole = sums.where("all <= goal").select("sample_id", F.lit("~").alias("last"), F.lit(0).cast("long").alias("rest"))
-    met = reads.join(last.join(whole, "sample_id", "left_anti").union(whole), "sample_id")
-    rank = F.row_number().over(Window.partitionBy("sample_id").orderBy("h"))
-    end = met.where("part = last").withColumn("r", rank).where("r <= rest")
-    return met.where("part < last").select("obs_id", "sample_id").union(end.select("obs_id", "sample_id")).groupBy("obs_id", "sample_id").agg(F.count("*").alias("count"))
+    whole = ab.join(sums.where("all <= goal").select("sample_id"), "sample_id", "left_semi").select("obs_id", "sample_id", F.col("count").alias("n"))
+    cut = sums.where("goal > 0 and all > goal")
+    reads = _by_part(_pieces(ab.join(cut.select("sample_id"), "sample_id", "left_semi")), seed)
+    before = F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    last = reads.withColumn("below", F.coalesce(before, F.lit(0))).join(cut, "sample_id").where("below < goal and below + n >= goal")
+    last = stored(last.select("sample_id", F.col("part").alias("last"), (F.col("goal") - F.col("below")).alias("rest")), "ends")
+    kept = stored(_kept(_pieces(ab.join(last, "sample_id")), seed), "kept")
+    end = kept.where("h is not null").withColumn("r", F.row_number().over(Window.partitionBy("sample_id").orderBy("h"))).where("r <= rest")
+    parts = whole.union(kept.where("h is null").select("obs_id", "sample_id", "n")).union(end.select("obs_id", "sample_id", "n"))
+    return parts.groupBy("obs_id", "sample_id").agg(F.sum("n").alias("count"))
 
 
 def step_size(ab: DataFrame, parts: int = 35) -> int:
@@ -72,6 +157,22 @@ def step_size(ab: DataFrame, parts: int = 35) -> int:
     return max(1, sums.withColumn("r", F.row_number().over(w)).where(F.col("r") == k // 4 + 1).first()["n"] // parts)
 
 
+def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
+    """obs_id, sample_id, h, part: a row for each read with its hash."""
+    key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.col("i").cast("string"), *([F.lit(seed)] if seed else []))
+    reads = ab.where("count > 0").withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))))
+    # a large cell's reads are made by many tasks; with a number, as few rows would else be put into one task
+    reads = reads.repartition(4 * ab.sparkSession.sparkContext.defaultParallelism, "obs_id", "sample_id", "from")
+    reads = reads.select("obs_id", "sample_id", F.explode(F.sequence("from", F.least("count", F.col("from") + READS - 1))).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
+    return reads.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
+
+
+def _below(reads: DataFrame) -> DataFrame:
+    """sample_id, part, n, below: reads in each part of a sample's hashes, and in those before it."""
+    n = reads.groupBy("sample_id", "part").agg(F.count("*").alias("n"))
+    return n.withColumn("below", F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+
+
 def rarefaction(ab: DataFrame, taxa: DataFrame | None, interval: int, seed: str = "") -> DataFrame:
     """sample_id, nb_sampled, taxa: distinct taxa among the first k * interval reads in hash order, for each whole step.
 

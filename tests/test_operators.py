@@ -254,3 +254,51 @@ def test_variance_with_depth(spark):
     for f, a, b in ((0.5, 3, 35), (2.9, 3, 35), (8.0, 4, 10), (1.0, 2, 7)):
         assert abs(E.f_tail(f, a, b) - tail(f, a, b)) < 1e-6
     assert np.isclose(r["p_group"], E.f_tail(r["f_group"], 3, 35))
+
+
+def _shuffled(spark, df):
+    """The rows, and how many records were shuffled for them."""
+    sc = spark.sparkContext
+    store, bus = sc._jsc.sc().statusStore(), sc._jsc.sc().listenerBus()
+
+    def records():
+        bus.waitUntilEmpty(30_000)
+        stages = store.stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = records()
+    return df().collect(), records() - before
+
+
+def _many_reads(spark):
+    return spark.createDataFrame([("x", "s", 200_000), ("y", "s", 100_000), ("x", "t", 90_000), ("y", "u", 40)], "obs_id string, sample_id string, count long")
+
+
+def _drawn(cells, goal):
+    import hashlib
+
+    want = {}
+    for s, n in goal.items():
+        order = sorted((hashlib.md5(f"{o}|{s}|{i}".encode()).digest(), o) for o, t, k in cells if t == s for i in range(1, k + 1))
+        for _, o in order[:n]:
+            want[o, s] = want.get((o, s), 0) + 1
+    return want
+
+
+def test_draw_of_large_samples_hands_on_few_reads(spark):
+    ab = _many_reads(spark)
+    rows, records = _shuffled(spark, lambda: P.subsampled(ab, n=70_000, drop_small=True))
+    assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == _drawn([tuple(r) for r in ab.collect()], {"s": 70_000, "t": 70_000})
+    assert records < 390_000 // 4
+
+
+def test_numbered_md5_by_definition():
+    import hashlib
+
+    from amplicore.operators.digests import as_bytes, numbered_md5
+
+    keys = [b"a|b|", b"", b"\xc3\xa9" * 30, b"c|b|", b"x" * 54]
+    first, last = np.array([1, 98, 10**12 - 2, 7, 1]), np.array([70_000, 98, 10**12 + 1, 7, 12])
+    for end in (b"", b"|seed"):
+        got = [(c, h) for of, a, b in numbered_md5(keys, first, last, end) for c, h in zip(of.tolist(), as_bytes(a, b), strict=True)]
+        assert got == [(c, hashlib.md5(keys[c] + str(i).encode() + end).digest()) for c in range(5) for i in range(first[c], last[c] + 1)]
