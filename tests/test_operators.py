@@ -302,3 +302,10 @@ def test_numbered_md5_by_definition():
     for end in (b"", b"|seed"):
         got = [(c, h) for of, a, b in numbered_md5(keys, first, last, end) for c, h in zip(of.tolist(), as_bytes(a, b), strict=True)]
         assert got == [(c, hashlib.md5(keys[c] + str(i).encode() + end).digest()) for c in range(5) for i in range(first[c], last[c] + 1)]
+
+
+def test_ratio_of_large_samples_hands_on_few_reads(spark):
+    ab = _many_reads(spark)
+    rows, records = _shuffled(spark, lambda: P.subsampled(ab, ratio=0.25))
+    assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == _drawn([tuple(r) for r in ab.collect()], {"s": 75_000, "t": 22_500, "u": 10})
+    assert records < 390_000 // 4
