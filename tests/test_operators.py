@@ -309,3 +309,10 @@ def test_ratio_of_large_samples_hands_on_few_reads(spark):
     rows, records = _shuffled(spark, lambda: P.subsampled(ab, ratio=0.25))
     assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == _drawn([tuple(r) for r in ab.collect()], {"s": 75_000, "t": 22_500, "u": 10})
     assert records < 390_000 // 4
+
+
+def test_smallest_sample_hands_on_few_reads(spark):
+    ab = _many_reads(spark).union(spark.createDataFrame([("x", "empty", 0)], "obs_id string, sample_id string, count long"))
+    rows, records = _shuffled(spark, lambda: P.subsampled(ab))
+    assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == _drawn([tuple(r) for r in ab.collect()], {"s": 40, "t": 40, "u": 40})
+    assert records < 390_000 // 4
