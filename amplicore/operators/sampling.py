@@ -157,38 +157,91 @@ def step_size(ab: DataFrame, parts: int = 35) -> int:
     return max(1, sums.withColumn("r", F.row_number().over(w)).where(F.col("r") == k // 4 + 1).first()["n"] // parts)
 
 
-def unit_reads(ab: DataFrame, seed: str = "") -> DataFrame:
-    """obs_id, sample_id, h, part: a row for each read with its hash."""
-    key = F.concat_ws("|", F.col("obs_id").cast("string"), F.col("sample_id").cast("string"), F.col("i").cast("string"), *([F.lit(seed)] if seed else []))
-    reads = ab.where("count > 0").withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), "count", F.lit(READS).cast("long"))))
-    # a large cell's reads are made by many tasks; with a number, as few rows would else be put into one task
-    reads = reads.repartition(4 * ab.sparkSession.sparkContext.defaultParallelism, "obs_id", "sample_id", "from")
-    reads = reads.select("obs_id", "sample_id", F.explode(F.sequence("from", F.least("count", F.col("from") + READS - 1))).alias("i")).select("obs_id", "sample_id", F.md5(key.cast("binary")).alias("h"))
-    return reads.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
+def _lowest(pieces: DataFrame, seed: str) -> DataFrame:
+    """obs_id, sample_id, h: the smallest hash of each piece."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for batch in batches:
+            for row, first, second in _hashes(batch, seed):
+                at = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+                low = np.minimum.reduceat(first, at)
+                lower = np.minimum.reduceat(np.where(first == low[row - row[0]], second, ~np.uint64(0)), at)
+                rows = pa.array(row[at])
+                yield {"obs_id": batch.column("obs_id").take(rows), "sample_id": batch.column("sample_id").take(rows), "h": pa.array(as_bytes(low, lower), pa.binary())}
+
+    return _mapped(_dealt(pieces), run, "obs_id {obs}, sample_id {sample}, h binary")
+
+
+def _between(pieces: DataFrame, marks: DataFrame, reads: int, sums: DataFrame, seed: str) -> DataFrame:
+    """sample_id, h, n: for each mark of a sample (h) its reads up to it, beyond the mark before it.
+
+    A sample's pieces are in groups of about as many reads each, and each group gets the sample's marks before its pieces.
+    """
+    tasks = 16 * pieces.sparkSession.sparkContext.defaultParallelism
+    groups = sums.select("sample_id", F.ceil(F.col("all") / max(1, -(-reads // tasks))).alias("groups"))
+    group = F.pmod(F.xxhash64("obs_id", "start"), "groups").alias("g")
+    rows = pieces.join(groups, "sample_id").select("obs_id", "sample_id", group, "key", "start", "stop", F.lit(None).cast("binary").alias("h"))
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g")
+    none = [F.lit(None).cast(rows.schema["obs_id"].dataType).alias("obs_id")]
+    heads = marks.join(groups, "sample_id").select(*none, "sample_id", each, F.lit(None).cast("binary").alias("key"), F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("stop"), "h")
+    dealt = heads.unionByName(rows).repartition(tasks, "sample_id", "g").sortWithinPartitions("sample_id", "g", "start", "h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        held, marks, n, value, kind = None, [], np.zeros(0, np.int64), None, None
 
-def _below(reads: DataFrame) -> DataFrame:
-    """sample_id, part, n, below: reads in each part of a sample's hashes, and in those before it."""
-    n = reads.groupBy("sample_id", "part").agg(F.count("*").alias("n"))
-    return n.withColumn("below", F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"))
+        def counts() -> dict:
+            return {"sample_id": pa.array([value], kind).take(pa.array(np.zeros(len(marks), np.int64))), "h": pa.array(marks, pa.binary()), "n": pa.array(n[:-1])}
+
+        for batch in batches:
+            sample, kind = batch.column("sample_id"), batch.column("sample_id").type
+            code, g = _same(sample), batch.column("g").to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero((code[1:] != code[:-1]) | (g[1:] != g[:-1])) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if held != (sample[a].as_py(), g[a]):
+                    if marks:
+                        yield counts()
+                    held, value, marks, n = (sample[a].as_py(), g[a]), sample[a].as_py(), [], np.zeros(1, np.int64)
+                own = batch.slice(a, b - a)
+                new = own.column("h").drop_null().to_pylist()
+                if new:
+                    marks += new
+                    both = np.frombuffer(b"".join(marks), ">u8").reshape(-1, 2).astype(np.uint64)
+                    high, low, n = both[:, 0].copy(), both[:, 1].copy(), np.zeros(len(marks) + 1, np.int64)
+                own = own.slice(len(new))
+                if own.num_rows and marks:
+                    for _, first, second in _hashes(own, seed):
+                        place = np.searchsorted(high, first)
+                        tied = np.flatnonzero(high[np.minimum(place, len(high) - 1)] == first)
+                        for k in tied:  # mostly the marks themselves
+                            while place[k] < len(high) and high[place[k]] == first[k] and low[place[k]] < second[k]:
+                                place[k] += 1
+                        n += np.bincount(place, minlength=len(n))
+        if marks:
+            yield counts()
+
+    return _mapped(dealt, run, "sample_id {sample}, h binary, n long").groupBy("sample_id", "h").agg(F.sum("n").alias("n"))
 
 
 def rarefaction(ab: DataFrame, taxa: DataFrame | None, interval: int, seed: str = "") -> DataFrame:
     """sample_id, nb_sampled, taxa: distinct taxa among the first k * interval reads in hash order, for each whole step.
 
-    taxa: obs_id, taxon (null: observations themselves). A taxon counts where its first read stands, so steps are a running
-    sum over as many rows as there are taxa.
+    taxa: obs_id, taxon (null: observations themselves). A taxon counts where its first read stands: reads are counted between
+    the first reads of a sample's taxa, of which a task holds 16 bytes each. Steps are a running sum over as many rows as
+    there are taxa.
     """
-    reads = unit_reads(ab, seed)
+    ab = stored(ab.where("count > 0").select("obs_id", "sample_id", F.col("count").cast("long").alias("count")), "cells")
+    sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all"))
+    pieces = _pieces(ab)
     of = F.col("obs_id").cast("string").alias("taxon")
-    lowest = reads.groupBy("obs_id", "sample_id").agg(F.min("h").alias("h"))
+    lowest = _lowest(pieces, seed)
     lowest = (lowest.select("sample_id", of, "h") if taxa is None else lowest.join(taxa, "obs_id")).groupBy("sample_id", "taxon").agg(F.min("h").alias("h"))
-    lowest = lowest.withColumn("part", F.substr("h", F.lit(1), F.lit(DIGITS)))
-    here = reads.join(lowest.select("sample_id", "part").distinct(), ["sample_id", "part"], "left_semi").select("sample_id", "part", "h")
-    placed = here.withColumn("at", F.row_number().over(Window.partitionBy("sample_id", "part").orderBy("h"))).join(_below(reads).select("sample_id", "part", "below"), ["sample_id", "part"])
-    first = lowest.join(placed.select("sample_id", "h", (F.col("below") + F.col("at")).alias("r")), ["sample_id", "h"])
+    lowest = stored(lowest.select("sample_id", "h"), "lowest")
+    marks = lowest.distinct()  # a taxon for each, unless an observation has several
+    reads = sums.agg(F.sum("all")).first()[0] or 0
+    n = _between(pieces, marks, reads, sums, seed)
+    placed = n.withColumn("r", F.sum("n").over(Window.partitionBy("sample_id").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)))
+    first = lowest.join(placed.select("sample_id", "h", "r"), ["sample_id", "h"])
     own = first.groupBy("sample_id", F.ceil(F.col("r") / interval).alias("k")).agg(F.count("*").alias("n"))
-    sums = ab.groupBy("sample_id").agg(F.sum("count").alias("all"))
     grid = sums.where(F.col("all") >= interval).select("sample_id", F.explode(F.sequence(F.lit(1).cast("long"), F.floor(F.col("all") / interval))).alias("k"))
     up = Window.partitionBy("sample_id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     joined = grid.join(own, ["sample_id", "k"], "left")

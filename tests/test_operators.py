@@ -316,3 +316,23 @@ def test_smallest_sample_hands_on_few_reads(spark):
     rows, records = _shuffled(spark, lambda: P.subsampled(ab))
     assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == _drawn([tuple(r) for r in ab.collect()], {"s": 40, "t": 40, "u": 40})
     assert records < 390_000 // 4
+
+
+def test_rarefaction_of_large_samples_hands_on_few_reads(spark):
+    import hashlib
+
+    ab = _many_reads(spark)
+    taxa = spark.createDataFrame([("x", "a"), ("y", "b"), ("y", "a")], "obs_id string, taxon string")
+    rows, records = _shuffled(spark, lambda: P.rarefaction(ab, taxa, 20))
+    at = {}
+    for o, s, n in (tuple(r) for r in ab.collect()):
+        at.setdefault(s, []).extend((hashlib.md5(f"{o}|{s}|{i}".encode()).digest(), o) for i in range(1, n + 1))
+    want = {}
+    for s, reads in at.items():
+        seen = set()
+        for k, (_, o) in enumerate(sorted(reads), 1):
+            seen |= {"x": {"a"}, "y": {"a", "b"}}[o]
+            if k % 20 == 0:
+                want[s, k] = len(seen)
+    assert {(r["sample_id"], r["nb_sampled"]): r["taxa"] for r in rows} == want
+    assert records < 390_000 // 4
