@@ -16,12 +16,18 @@ un AS (SELECT obs_id, sample_id, md5(obs_id || '|' || sample_id || '|' || i) AS
 rk AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY h) AS r, count(*) OVER (PARTITION BY sample_id) AS total FROM un)"""
 
 
+#: Suppliers that are sent to all tasks; more are shuffled.
+SENT_SUPPLIERS = 100_000
+
+
 def _small(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    """Lines are summed by part and region before they meet their parts, so that with few suppliers no shuffle holds them all."""
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("obs_id"))
     sup = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).join(sup, F.col("l_suppkey") == F.col("s_suppkey"))
-    return rows.groupBy("obs_id", F.col("r_name").alias("sample_id")).agg(F.sum("l_quantity").cast("long").alias("count"))
+    sup = sup.select("s_suppkey", F.col("r_name").alias("sample_id"))
+    lines = table(spark, sf_dir, "lineitem").join(F.broadcast(sup) if sup.count() <= SENT_SUPPLIERS else sup, F.col("l_suppkey") == F.col("s_suppkey"))
+    sums = lines.groupBy("l_partkey", "sample_id").agg(F.sum("l_quantity").alias("n"))
+    return sums.join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("obs_id", "sample_id").agg(F.sum("n").cast("long").alias("count"))
 
 
 @query("subsample_to_min", f"WITH {_SMALL_SQL} SELECT obs_id, sample_id, count(*) AS count FROM rk WHERE r <= (SELECT min(total) FROM rk) GROUP BY 1, 2")

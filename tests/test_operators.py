@@ -344,3 +344,29 @@ def test_heat_map_ties_and_missing_queries(spark):
     for cells in (rows, rows[::-1]):
         aln = spark.createDataFrame(cells, "query_id long, subject long, ord int, bitscore double, identity double, coverage double").coalesce(1)
         assert [(r["identity"], r["coverage"], r["n"]) for r in X.heat_map(aln).where("n > 0").collect()] == [(99, 95, 1)]
+
+
+def test_lines_are_summed_before_they_are_shuffled(spark, tmp_path, monkeypatch):
+    """Many lines of few parts: the draw's cells come from sums, also where no table is small enough to be sent by itself."""
+    from amplicore.plans import ecology_queries as Q
+
+    lines = spark.range(6000).select((F.col("id") % 7).alias("l_partkey"), (F.col("id") % 5).alias("l_suppkey"), (F.col("id") % 3).cast("double").alias("l_quantity"))
+    lines.union(spark.sql("SELECT 1L, 99L, 5D UNION ALL SELECT 99L, 1L, 5D UNION ALL SELECT NULL, 1L, 5D UNION ALL SELECT 1L, 1L, NULL")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(7).selectExpr("id AS p_partkey", "concat('b', id % 2) AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    spark.range(5).selectExpr("id AS s_suppkey", "id % 3 AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(3).selectExpr("id AS n_nationkey", "id % 2 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(2).selectExpr("id AS r_regionkey", "concat('r', id) AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    want = {}
+    for i in range(6000):
+        key = f"b{i % 7 % 2}", f"r{i % 5 % 3 % 2}"
+        want[key] = want.get(key, 0) + i % 3
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, records = _shuffled(spark, lambda: Q._small(spark, str(tmp_path)))
+        assert {(r["obs_id"], r["sample_id"]): r["count"] for r in rows} == want
+        assert records < 6000 // 4
+        monkeypatch.setattr(Q, "SENT_SUPPLIERS", 0, raising=False)
+        assert {(r["obs_id"], r["sample_id"]): r["count"] for r in Q._small(spark, str(tmp_path)).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
