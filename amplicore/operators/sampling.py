@@ -3,8 +3,9 @@
 A draw without replacement of n reads from a sample is the n smallest of its reads by a stable hash of (observation,
 sample, place, seed): the same on every run, in any partitioning. Hashes are made for each read, so work is as the number of
 reads, but reads are no rows: a task makes the hashes of a piece of a cell as numbers and hands on counts only. A draw counts
-them by their first ``DIGITS`` hexadecimal digits, and hands on the reads of the one part of a sample in which it ends; a
-curve counts them between the first reads of taxa.
+those that are surely in it, and hands on the reads about the place where it should end, as hashes are even. Counts tell
+whether it ends there; of a sample where it doesn't, reads are counted by their first ``DIGITS`` hexadecimal digits, and those
+of the one part in which it ends are handed on. A curve counts hashes between the first reads of taxa.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from amplicore.storage import ship, stored
 
 #: Digits of a hash that say its part: 16 to the power of it are the parts of a sample.
 DIGITS = 3
+#: Standard deviations of a draw's end to either side that are handed on at first.
+SPREAD = 8
 #: Reads of a cell in one piece.
 READS = 1 << 14
 #: Samples whose counts a task holds at once.
@@ -97,26 +100,48 @@ def _by_part(pieces: DataFrame, seed: str) -> DataFrame:
 
 
 def _kept(pieces: DataFrame, seed: str) -> DataFrame:
-    """obs_id, sample_id, rest, h, n: reads in parts before the last one (h null), and each read in it."""
+    """obs_id, sample_id, h, n: reads with hashes before low (h null), and each read from there to before high; both in units of 2^-32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for batch in batches:
-            last = batch.column("last").to_numpy(zero_copy_only=False)
-            sure = np.zeros(len(last), np.int64)
+            low, high = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("low", "high"))
+            sure = np.zeros(len(low), np.int64)
 
             def columns(rows: np.ndarray, h: list, n: np.ndarray, batch: pa.RecordBatch = batch) -> dict:
-                return {c: batch.column(c).take(pa.array(rows)) for c in ("obs_id", "sample_id", "rest")} | {"h": pa.array(h, pa.binary()), "n": pa.array(n)}
+                return {c: batch.column(c).take(pa.array(rows)) for c in ("obs_id", "sample_id")} | {"h": pa.array(h, pa.binary()), "n": pa.array(n)}
 
             for row, first, second in _hashes(batch, seed):
-                part = (first >> np.uint64(64 - 4 * DIGITS)).astype(np.int64)
-                sure += np.bincount(row[part < last[row]], minlength=len(last))
-                end = np.flatnonzero(part == last[row])
+                place = (first >> np.uint64(32)).astype(np.int64)
+                sure += np.bincount(row[place < low[row]], minlength=len(low))
+                end = np.flatnonzero((place >= low[row]) & (place < high[row]))
                 if len(end):
                     yield columns(row[end], as_bytes(first[end], second[end]), np.ones(len(end), np.int64))
             rows = np.flatnonzero(sure)
             yield columns(rows, [None] * len(rows), sure[rows])
 
-    return _mapped(_dealt(pieces), run, "obs_id {obs}, sample_id {sample}, rest long, h binary, n long")
+    return _mapped(_dealt(pieces), run, "obs_id {obs}, sample_id {sample}, h binary, n long")
+
+
+def _ends(cells: DataFrame, cut: DataFrame, seed: str) -> DataFrame:
+    """cut with low and high, the bounds of the part of a sample in which its draw ends, by a count of all its reads."""
+    reads = _by_part(_pieces(cells.join(cut.select("sample_id"), "sample_id", "left_semi")), seed)
+    before = F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    last = reads.withColumn("below", F.coalesce(before, F.lit(0))).join(cut, "sample_id").where("below < goal and below + n >= goal")
+    low = F.col("part").cast("long") * (1 << 32 - 4 * DIGITS)
+    return last.select("sample_id", "goal", low.alias("low"), (low + (1 << 32 - 4 * DIGITS)).alias("high"))
+
+
+def _drawn(cells: DataFrame, bounds: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
+    """obs_id, sample_id, n: parts of draws that end between their bounds (sample_id, goal, low, high); and the sample_id of the others."""
+    bounds = stored(bounds, "ends")
+    kept = stored(_kept(_pieces(cells.join(bounds.select("sample_id", "low", "high"), "sample_id")), seed), "kept")
+    sums = kept.groupBy("sample_id").agg(F.sum(F.when(F.col("h").isNull(), F.col("n"))).alias("sure"), F.sum("n").alias("upto"))
+    sure = F.coalesce("sure", F.lit(0))
+    held = bounds.join(sums, "sample_id", "left").withColumn("rest", F.when((sure <= F.col("goal")) & (F.col("upto") >= F.col("goal")), F.col("goal") - sure))
+    held = stored(held.select("sample_id", "rest"), "held")
+    of = kept.join(held.where("rest is not null"), "sample_id")
+    end = of.where("h is not null").withColumn("r", F.row_number().over(Window.partitionBy("sample_id").orderBy("h"))).where("r <= rest")
+    return of.where("h is null").select("obs_id", "sample_id", "n").union(end.select("obs_id", "sample_id", "n")), held.where("rest is null").select("sample_id")
 
 
 def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None, drop_small: bool = False, seed: str = "") -> DataFrame:
@@ -137,13 +162,12 @@ def subsampled(ab: DataFrame, n: int | None = None, ratio: float | None = None,
         sums = sums.where("all >= goal")
     whole = ab.join(sums.where("all <= goal").select("sample_id"), "sample_id", "left_semi").select("obs_id", "sample_id", F.col("count").alias("n"))
     cut = sums.where("goal > 0 and all > goal")
-    reads = _by_part(_pieces(ab.join(cut.select("sample_id"), "sample_id", "left_semi")), seed)
-    before = F.sum("n").over(Window.partitionBy("sample_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    last = reads.withColumn("below", F.coalesce(before, F.lit(0))).join(cut, "sample_id").where("below < goal and below + n >= goal")
-    last = stored(last.select("sample_id", F.col("part").alias("last"), (F.col("goal") - F.col("below")).alias("rest")), "ends")
-    kept = stored(_kept(_pieces(ab.join(last, "sample_id")), seed), "kept")
-    end = kept.where("h is not null").withColumn("r", F.row_number().over(Window.partitionBy("sample_id").orderBy("h"))).where("r <= rest")
-    parts = whole.union(kept.where("h is null").select("obs_id", "sample_id", "n")).union(end.select("obs_id", "sample_id", "n"))
+    spread = SPREAD * (F.sqrt(F.col("goal") * (1 - F.col("goal") / F.col("all"))) + 1)
+    low, high = (F.floor((F.col("goal") + side * spread) / F.col("all") * 2**32) for side in (-1, 1))
+    drawn, missed = _drawn(ab, cut.select("sample_id", "goal", F.greatest(low, F.lit(0)).alias("low"), F.least(high, F.lit(1 << 32)).alias("high")), seed)
+    parts = whole.union(drawn)
+    if missed.limit(1).count():
+        parts = parts.union(_drawn(ab, _ends(ab, cut.join(missed, "sample_id", "left_semi"), seed), seed)[0])
     return parts.groupBy("obs_id", "sample_id").agg(F.sum("n").alias("count"))
 
 

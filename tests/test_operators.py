@@ -370,3 +370,13 @@ def test_lines_are_summed_before_they_are_shuffled(spark, tmp_path, monkeypatch)
         assert {(r["obs_id"], r["sample_id"]): r["count"] for r in Q._small(spark, str(tmp_path)).collect()} == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_draw_makes_hashes_once(spark, monkeypatch):
+    """Draws that end where they should need no count of all hashes; with no room for their ends the count finds them all the same."""
+    ab, counted, by_part = _many_reads(spark), [], P._by_part
+    monkeypatch.setattr(P, "_by_part", lambda *a: counted.append(1) or by_part(*a))
+    want = _drawn([tuple(r) for r in ab.collect()], {"s": 40, "t": 40, "u": 40})
+    assert {(r["obs_id"], r["sample_id"]): r["count"] for r in P.subsampled(ab).collect()} == want and not counted
+    monkeypatch.setattr(P, "SPREAD", 0, raising=False)
+    assert {(r["obs_id"], r["sample_id"]): r["count"] for r in P.subsampled(ab).collect()} == want and counted
